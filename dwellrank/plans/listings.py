@@ -45,4 +45,4 @@ def room_type_breakdown(clean: DataFrame) -> DataFrame:
         F.sum("n").alias("num_listings"),
         F.round(F.try_divide(F.sum(cents), F.sum("n")) / 100, 2).alias("avg_price"),
         F.round(F.percentile("price", 0.5, F.col("n")), 2).alias("median_price"),
-    )
+    ).filter(F.col("num_listings") > 0)
