@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwellrank.session import pin, pin_measured
+
+MAX_BROADCAST_ROWS = 500_000  # rows of a few short columns, about 32 MB
+
 
 def _slices(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
@@ -39,6 +43,27 @@ def join_splitting_hot_keys(left: DataFrame, right: DataFrame, on: list[str], sh
     return joined(left, F.broadcast(hot)).unionByName(joined(rest, cold))
 
 
+def join_lookup(
+    facts: DataFrame, lookup: DataFrame, on: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Inner join of facts with a lookup that has one row per key.
+
+    The lookup is pinned and counted. It is broadcast up to ``max_broadcast_rows``; beyond that the
+    rows per key are counted, which combines before its shuffle, and hot keys are split off.
+    """
+    table, n_rows = pin_measured(lookup, F.count(F.lit(1)), "lookup")
+    added = [c for c in table.columns if c != on]
+    if n_rows <= max_broadcast_rows:
+        return facts.join(F.broadcast(table), on).select(*facts.columns, *added)
+    counts = facts.groupBy(on).agg(F.count("*").alias("_n"))
+    weighted = pin(table.join(counts, on), "weighted-lookup")
+    total = weighted.agg(F.sum("_n")).scalar()
+    known = facts.filter(F.col(on).isNotNull())
+    return join_splitting_hot_keys(known, weighted, [on], F.try_divide(F.col("_n"), total)).select(
+        *facts.columns, *added
+    )
+
+
 def with_salts(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt`` column that splits the hot keys of ``left``.
 

@@ -19,6 +19,7 @@ from dwellrank.functions.scalars import (
     usable_delay,
 )
 from dwellrank.operators.joins import station_areas
+from dwellrank.operators.skew import join_lookup
 from dwellrank.sources.feed import entity_updates
 
 
@@ -113,7 +114,8 @@ def area_punctuality(
 
 def delays_with_area(updates: DataFrame, lookup: DataFrame) -> DataFrame:
     """Every stop update with the area of its station; unknown stations drop out."""
-    return updates.withColumn("station", station_or_null(F.col("stop_id"))).join(station_areas(lookup), "station")
+    keyed = updates.withColumn("station", station_or_null(F.col("stop_id")))
+    return join_lookup(keyed, station_areas(lookup), "station")
 
 
 def feed_profile(messages: DataFrame) -> DataFrame:
