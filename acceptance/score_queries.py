@@ -24,7 +24,7 @@ from dwellrank.plans.events import events_scores
 from dwellrank.plans.geometry import area_geometry
 from dwellrank.plans.listings import room_type_breakdown as room_types, value_scores
 from dwellrank.plans.punctuality import city_counters
-from dwellrank.session import pin
+from dwellrank.session import pin, run_together
 from dwellrank.sources.files import staged_scores
 
 VIEWS.update(
@@ -43,11 +43,13 @@ def supplier_scores(t: Inputs) -> DataFrame:
     return pin(score_table(suppliers(t), {"revenue": "score"}), "supplier-scores")
 
 
-def mart_inputs(t: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
-    value = value_scores(t.listings)
-    connectivity = connectivity_scores(t.stop_times, t.lookup, t.areas)
-    events = events_scores(t.points, t.districts)
-    return value, connectivity, events
+def mart_inputs(t: Inputs) -> list[DataFrame]:
+    return run_together(
+        t.spark,
+        lambda: value_scores(t.listings),
+        lambda: connectivity_scores(t.stop_times, t.lookup, t.areas),
+        lambda: events_scores(t.points, t.districts),
+    )
 
 
 def mart(t: Inputs) -> DataFrame:

@@ -59,7 +59,7 @@ def src_csv_roundtrip(t: Inputs) -> DataFrame:
 @query("select doc_id, length(text) as n_chars, length(text) - length(replace(text, chr(10), '')) as line_breaks from documents")
 def src_csv_gz_multiline(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "documents-csv-gz")
-    sinks.replace_csv(t.table("documents").select("doc_id", "text"), path, compression="gzip", rows_per_file=10_000)
+    sinks.replace_csv(t.table("documents").select("doc_id", "text"), path, compression="gzip", rows_per_file=1_000)
     documents = read_multiline_csv(t.spark, path, "doc_id bigint, text string")
     n_chars = F.length("text").cast("long")
     breaks = n_chars - F.length(F.replace("text", F.lit("\n"), F.lit(""))).cast("long")

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellrank.operators.skew import join_splitting_hot_keys
+from dwellrank.operators.skew import hot_slices, join_splitting_hot_keys
 from dwellrank.session import pin, pin_measured
 
 MAX_BROADCAST_VALUES = 500_000  # rows of four numbers, about 32 MB
@@ -22,10 +22,11 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its parti
 
 
 class Positions(NamedTuple):
-    """Per (measure, value): ``n_below``, ``n_equal``, ``n_total``; and the number of such rows."""
+    """Per (measure, value): ``n_below``, ``n_equal``, ``n_total``; with what was counted of it."""
 
     table: DataFrame
     n_values: int
+    has_hot_value: bool
 
 
 def value_positions(df: DataFrame, columns: list[str]) -> Positions:
@@ -36,10 +37,12 @@ def value_positions(df: DataFrame, columns: list[str]) -> Positions:
     else:
         long = df.select(*measures).unpivot([], columns, "measure", "value")
     counts = long.groupBy("measure", "value").agg(F.count("*").alias("n_equal"))
-    ranged, n_values = pin_measured(
+    ranged, counted = pin_measured(
         counts.repartitionByRange("measure", "value").withColumn("slice", F.spark_partition_id()),
-        F.count(F.lit(1)),
         "value-counts",
+        n_values=F.count(F.lit(1)),
+        n_most=F.max("n_equal"),
+        n_rows=F.sum("n_equal"),
     )
     before = Window.partitionBy("measure").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per measure and range partition: its size is bounded by the partition count.
@@ -67,7 +70,8 @@ def value_positions(df: DataFrame, columns: list[str]) -> Positions:
             "n_total",
         )
     )
-    return Positions(table, n_values)
+    hot = counted["n_most"] * hot_slices(df) * len(columns) > counted["n_rows"]
+    return Positions(table, counted["n_values"], hot)
 
 
 def attach_positions(
@@ -75,18 +79,20 @@ def attach_positions(
 ) -> DataFrame:
     """Add ``n_below``, ``n_equal`` and ``n_total`` of ``column`` to every row of ``df``.
 
-    The positions are broadcast while their counted number allows it. Beyond that the rows are joined
-    with hot values split off, and pinned, since ``df`` is then read twice.
+    The positions are broadcast while their counted number allows it. Beyond that the join is shuffled,
+    with hot values split off if there are any; ``df`` is then read twice.
     """
     table = positions.table.filter(F.col("measure") == column).select(
         F.col("value").alias("_value"), "n_below", "n_equal", "n_total"
     )
     keyed = df.withColumn("_value", F.col(column).cast("double"))
-    if positions.n_values <= max_broadcast:
+    if positions.n_values <= max_broadcast or not positions.has_hot_value:
+        if positions.n_values <= max_broadcast:
+            table = F.broadcast(table)
         same = keyed["_value"].eqNullSafe(table["_value"])
-        return keyed.join(F.broadcast(table), same).select(*df.columns, "n_below", "n_equal", "n_total")
+        return keyed.join(table, same).select(*df.columns, "n_below", "n_equal", "n_total")
     share = F.try_divide(F.col("n_equal"), F.col("n_total"))
-    return pin(join_splitting_hot_keys(keyed, table, ["_value"], share).drop("_value"), "positions")
+    return join_splitting_hot_keys(keyed, table, ["_value"], share).drop("_value")
 
 
 def rank_from_position(descending: bool = True) -> Column:
@@ -161,6 +167,6 @@ def ntile_from_row_number(k: int, row_number: str, total: str) -> Column:
 
 
 def with_ntile(df: DataFrame, k: int, order: list[Column], name: str) -> DataFrame:
-    """Add the bucket 1..k of every row in the given total order."""
+    """Add the bucket 1..k of every row in the given total order. The result reads a pinned frame."""
     numbered = with_row_number(df, order, "_rn", "_rows")
     return numbered.withColumn(name, ntile_from_row_number(k, "_rn", "_rows")).select(*df.columns, name)

@@ -12,7 +12,8 @@ from dwellrank.session import pin, pin_measured
 MAX_BROADCAST_ROWS = 500_000  # rows of a few short columns, about 32 MB
 
 
-def _slices(df: DataFrame) -> int:
+def hot_slices(df: DataFrame) -> int:
+    """A key is hot when it holds more than one part in this many of the rows."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
 
 
@@ -28,7 +29,7 @@ def join_splitting_hot_keys(left: DataFrame, right: DataFrame, on: list[str], sh
     and broadcasting them is safe by count. Hot rows join without a shuffle, the rest are shuffled
     and no remaining key is larger than a partition.
     """
-    limit = 1.0 / _slices(left)
+    limit = 1.0 / hot_slices(left)
     hot = right.filter(share > limit)
     cold = right.filter(~(share > limit))
     keep = left.columns + [c for c in right.columns if c not in on]
@@ -51,9 +52,9 @@ def join_lookup(
     The lookup is pinned and counted. It is broadcast up to ``max_broadcast_rows``; beyond that the
     rows per key are counted, which combines before its shuffle, and hot keys are split off.
     """
-    table, n_rows = pin_measured(lookup, F.count(F.lit(1)), "lookup")
+    table, counted = pin_measured(lookup, "lookup", n_rows=F.count(F.lit(1)))
     added = [c for c in table.columns if c != on]
-    if n_rows <= max_broadcast_rows:
+    if counted["n_rows"] <= max_broadcast_rows:
         return facts.join(F.broadcast(table), on).select(*facts.columns, *added)
     counts = facts.groupBy(on).agg(F.count("*").alias("_n"))
     weighted = pin(table.join(counts, on), "weighted-lookup")
@@ -71,7 +72,7 @@ def with_salts(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFr
     the matching ``right`` rows are repeated once per salt. Add ``_salt`` to the equality condition:
     every left row still meets every right row of its key exactly once, for inner and left joins.
     """
-    parts = _slices(left)
+    parts = hot_slices(left)
     total = left.count()
     counts = left.groupBy(*on).agg(F.count("*").alias("_n"))
     size = max(total / parts, 1.0)

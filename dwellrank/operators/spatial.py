@@ -83,12 +83,11 @@ def within_join(
     """
     size = cell_size or choose_cell_size(areas)
     names = [c for c in areas.columns if c != "geometry"]
-    cells, n_edges = pin_measured(
-        area_cells(areas, size), F.sum(F.aggregate("edges", F.lit(0), lambda acc, e: acc + F.size(e))), "area-cells"
-    )
+    in_cell = F.aggregate("edges", F.lit(0), lambda acc, edges: acc + F.size(edges))
+    cells, counted = pin_measured(area_cells(areas, size), "area-cells", n_edges=F.sum(in_cell))
     located = points.withColumns({"cx": _cell(F.col(x), size), "cy": _cell(F.col(y), size)})
     on = ["cx", "cy"]
-    if n_edges <= max_broadcast_edges:
+    if counted["n_edges"] <= max_broadcast_edges:
         cells = F.broadcast(cells)
     else:
         located, cells = with_salts(located, cells, on)

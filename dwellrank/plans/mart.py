@@ -16,7 +16,13 @@ from dwellrank.constants import (
     PREMIUM,
 )
 from dwellrank.operators.checks import run_checks
-from dwellrank.operators.ranking import value_positions, with_ntile, with_percent_rank, with_rank
+from dwellrank.operators.ranking import (
+    MAX_BROADCAST_VALUES,
+    value_positions,
+    with_ntile,
+    with_percent_rank,
+    with_rank,
+)
 from dwellrank.operators.scaling import blend, with_delta_from_mean
 from dwellrank.session import pin
 
@@ -52,26 +58,51 @@ def scored_areas(
 
 
 def analysed_areas(scored: DataFrame) -> DataFrame:
-    """Ranks, percentiles, quartiles and distances from the mean. ``scored`` is read several times."""
-    columns = ["stay_score", "value_score", "connectivity_score"]
-    positions = value_positions(scored, columns)
-    ranked = with_rank(scored, "stay_score", "overall_rank", positions=positions)
-    ranked = with_percent_rank(ranked, "value_score", "value_percentile", positions=positions)
-    ranked = with_percent_rank(ranked, "connectivity_score", "connectivity_percentile", positions=positions)
-    ranked = with_ntile(ranked, 4, [F.col("stay_score").desc(), F.col("neighbourhood").asc()], "stay_quartile")
-    return with_delta_from_mean(
-        ranked, {"connectivity_score": "connectivity_vs_avg", "value_score": "value_vs_avg"}
-    )
+    """Ranks, percentiles, quartiles and distances from the mean.
+
+    The quartiles pin the scored areas, so the inputs are read once and all else reads the pinned rows.
+    """
+    best_first = [F.col("stay_score").desc(), F.col("neighbourhood").asc()]
+    areas = with_ntile(scored, 4, best_first, "stay_quartile")
+    areas = with_delta_from_mean(areas, {"connectivity_score": "connectivity_vs_avg", "value_score": "value_vs_avg"})
+    positions = value_positions(areas, ["stay_score", "value_score", "connectivity_score"])
+
+    def settled(df: DataFrame) -> DataFrame:
+        # Only the join that splits hot values reads its input twice.
+        return pin(df, "ranked") if positions.n_values > MAX_BROADCAST_VALUES else df
+
+    ranked = settled(with_rank(areas, "stay_score", "overall_rank", positions=positions))
+    ranked = settled(with_percent_rank(ranked, "value_score", "value_percentile", positions=positions))
+    return settled(with_percent_rank(ranked, "connectivity_score", "connectivity_percentile", positions=positions))
+
+
+MART_COLUMNS = (
+    "neighbourhood",
+    "value_score",
+    "connectivity_score",
+    "events_score",
+    "stay_score",
+    "overall_rank",
+    "value_percentile",
+    "connectivity_percentile",
+    "stay_quartile",
+    "connectivity_vs_avg",
+    "value_vs_avg",
+    "neighbourhood_type",
+)
 
 
 def stay_score_mart(
     value: DataFrame, connectivity: DataFrame, events: DataFrame, weights: tuple[float, float, float] = DEFAULT_WEIGHTS
 ) -> DataFrame:
     """The published mart, best area first."""
-    scored = pin(scored_areas(value, connectivity, events, weights), "scored-areas")
-    analysed = analysed_areas(scored)
+    analysed = analysed_areas(scored_areas(value, connectivity, events, weights))
     label = area_type(F.col("value_percentile"), F.col("connectivity_percentile"))
-    return analysed.withColumn("neighbourhood_type", label).orderBy(F.col("stay_score").desc(), "neighbourhood")
+    return (
+        analysed.withColumn("neighbourhood_type", label)
+        .select(*MART_COLUMNS)
+        .orderBy(F.col("stay_score").desc(), "neighbourhood")
+    )
 
 
 def mart_checks(mart: DataFrame) -> DataFrame:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
@@ -57,8 +60,15 @@ def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pin_measured(df: DataFrame, size: Column, label: str = "pinned") -> tuple[DataFrame, int]:
-    """``pin`` and the value of an aggregate counted during the write, such as the number of rows."""
+def pin_measured(df: DataFrame, label: str = "pinned", **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``pin`` and aggregates counted during the write, such as the number of rows; none is 0."""
     observation = Observation(label)
-    pinned = pin(df.observe(observation, size.alias("size")), label)
-    return pinned, observation.get["size"] or 0
+    pinned = pin(df.observe(observation, *[column.alias(name) for name, column in metrics.items()]), label)
+    return pinned, {name: value or 0 for name, value in observation.get.items()}
+
+
+def run_together(spark: SparkSession, *jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run functions that start Spark jobs at the same time, so that one fills the gaps of another."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [future.result() for future in futures]

@@ -119,8 +119,8 @@ def test_tables_and_staged_scores(spark, tmp_path):
 
 def test_pin_reads_back_the_same_rows(spark):
     df = spark.range(100).select(F.col("id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("t"))
-    pinned, n = pin_measured(df, F.count(F.lit(1)))
-    assert n == 100 and rows(pinned) == rows(df)
+    pinned, counted = pin_measured(df, n=F.count(F.lit(1)), lowest=F.min("id"))
+    assert counted == {"n": 100, "lowest": 0} and rows(pinned) == rows(df)
     assert pin(df.limit(0)).count() == 0
 
 
