@@ -1,9 +1,10 @@
-"""Global ranks without a single-partition window.
+"""Global ranks without passing all rows through one task.
 
 Ranks depend only on how many rows lie below a value. Rows are first counted per distinct value,
-which collapses any number of ties before the shuffle; the distinct values are range-partitioned,
-and a running count inside each range plus the totals of the ranges before it gives the position.
-Row numbers range-partition the rows themselves on a total order, so ties never share one task.
+which collapses any number of ties before the shuffle. While the distinct values are few, one window
+per measure adds them up; beyond that they are range-partitioned, and a running count inside each
+range plus the totals of the ranges before it gives the position. Row numbers range-partition the
+rows themselves on a total order, so ties never share one task.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from dwellrank.operators.skew import hot_slices, join_splitting_hot_keys
 from dwellrank.session import pin, pin_measured
 
-MAX_BROADCAST_VALUES = 500_000  # rows of four numbers, about 32 MB
+MAX_LOCAL_VALUES = 1_000_000  # rows of two numbers that one window may add up, about 16 MB
+MAX_BROADCAST_VALUES = 500_000  # rows of four numbers, about 32 MB before hashing
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these bits
 
@@ -29,49 +31,52 @@ class Positions(NamedTuple):
     has_hot_value: bool
 
 
-def value_positions(df: DataFrame, columns: list[str]) -> Positions:
+def value_positions(df: DataFrame, columns: list[str], max_local: int = MAX_LOCAL_VALUES) -> Positions:
     """Where each distinct value of each column stands among all rows. Nulls count as the lowest."""
     measures = [F.col(c).cast("double").alias(c) for c in columns]
     if len(columns) == 1:
         long = df.select(F.lit(columns[0]).alias("measure"), measures[0].alias("value"))
     else:
         long = df.select(*measures).unpivot([], columns, "measure", "value")
-    counts = long.groupBy("measure", "value").agg(F.count("*").alias("n_equal"))
-    ranged, counted = pin_measured(
-        counts.repartitionByRange("measure", "value").withColumn("slice", F.spark_partition_id()),
+    counts, counted = pin_measured(
+        long.groupBy("measure", "value").agg(F.count("*").alias("n_equal")),
         "value-counts",
         n_values=F.count(F.lit(1)),
         n_most=F.max("n_equal"),
         n_rows=F.sum("n_equal"),
     )
-    before = Window.partitionBy("measure").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    n_total = counted["n_rows"] // len(columns)
+    below = _below_in_one_window(counts) if counted["n_values"] <= max_local else _below_in_ranges(counts)
+    table = below.select("measure", "value", "n_below", "n_equal", F.lit(n_total).alias("n_total"))
+    return Positions(table, counted["n_values"], counted["n_most"] * hot_slices(df) > n_total)
+
+
+def _running(column: str, window: Window) -> Column:
+    """Sum of the rows before this one."""
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(before), F.lit(0))
+
+
+def _below_in_one_window(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("n_below", _running("n_equal", Window.partitionBy("measure").orderBy("value")))
+
+
+def _below_in_ranges(counts: DataFrame) -> DataFrame:
+    ranged = pin(
+        counts.repartitionByRange("measure", "value").withColumn("slice", F.spark_partition_id()), "value-ranges"
+    )
     # One row per measure and range partition: its size is bounded by the partition count.
     slices = (
         ranged.groupBy("measure", "slice")
         .agg(F.sum("n_equal").alias("n_slice"))
-        .select(
-            "measure",
-            "slice",
-            F.coalesce(F.sum("n_slice").over(before), F.lit(0)).alias("n_before"),
-            F.sum("n_slice").over(Window.partitionBy("measure")).alias("n_total"),
-        )
-    )
-    inside = (
-        Window.partitionBy("measure", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        .withColumn("n_before", _running("n_slice", Window.partitionBy("measure").orderBy("slice")))
     )
-    table = (
-        ranged.withColumn("n_inside", F.coalesce(F.sum("n_equal").over(inside), F.lit(0)))
+    inside = _running("n_equal", Window.partitionBy("measure", "slice").orderBy("value"))
+    return (
+        ranged.withColumn("n_inside", inside)
         .join(F.broadcast(slices), ["measure", "slice"])
-        .select(
-            "measure",
-            "value",
-            (F.col("n_before") + F.col("n_inside")).alias("n_below"),
-            "n_equal",
-            "n_total",
-        )
+        .withColumn("n_below", F.col("n_before") + F.col("n_inside"))
     )
-    hot = counted["n_most"] * hot_slices(df) * len(columns) > counted["n_rows"]
-    return Positions(table, counted["n_values"], hot)
 
 
 def attach_positions(
@@ -131,29 +136,29 @@ def with_row_number(df: DataFrame, order: list[Column], name: str, total: str |
     ``total`` also adds the row count under that name. Each range partition is sorted once and its
     row places are read from the generated ids; the frame is pinned so they cannot change.
     """
-    placed = pin(
+    placed, counted = pin_measured(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_slice", F.shiftright("_at", _ROW_BITS)),
         "row-places",
-    ).withColumn("_slice", F.shiftright("_at", _ROW_BITS))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row per range partition: bounded by the partition count.
-    slices = (
-        placed.groupBy("_slice")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            "_slice",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(everything).alias("_total"),
-        )
+        n_rows=F.count(F.lit(1)),
+        last_slice=F.max("_slice"),
     )
-    place = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    added = [(F.col("_before") + place + 1).alias(name)]
+    place = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1
+    if counted["last_slice"] > 0:
+        # One row per range partition: bounded by the partition count.
+        slices = (
+            placed.groupBy("_slice")
+            .agg(F.count("*").alias("_n"))
+            .select("_slice", _running("_n", Window.orderBy("_slice")).alias("_before"))
+        )
+        placed = placed.join(F.broadcast(slices), "_slice")
+        place = place + F.col("_before")
+    added = [place.alias(name)]
     if total:
-        added.append(F.col("_total").alias(total))
-    return placed.join(F.broadcast(slices), "_slice").select(*df.columns, *added)
+        added.append(F.lit(counted["n_rows"]).cast("long").alias(total))
+    return placed.select(*df.columns, *added)
 
 
 def ntile_from_row_number(k: int, row_number: str, total: str) -> Column:

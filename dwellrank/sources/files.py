@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dwellrank.functions.geometry import GEOMETRY_TYPE
 from dwellrank.schemas import FEATURE_COLLECTION
@@ -11,9 +12,25 @@ from dwellrank.schemas import FEATURE_COLLECTION
 _CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def _declared(text: DataFrame, schema: str) -> DataFrame:
+    """The declared columns of an all-text frame, found by name; text that does not parse is null."""
+
+    def parsed(field: T.StructField):
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.IntegerType, T.LongType)):
+            # Whole numbers may have been written as 3.0.
+            return F.coalesce(column.try_cast(field.dataType), column.try_cast("double").try_cast(field.dataType))
+        return column.try_cast(field.dataType)
+
+    return text.select(*[parsed(f).alias(f.name) for f in T.StructType.fromDDL(schema).fields])
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Delimited files with a header line; one line per row, so large files are split."""
-    return spark.read.options(**_CSV).schema(schema).csv(path)
+    """Delimited files with a header line; one line per row, so large files are split.
+
+    Columns are taken by their header names, in any order and among any others.
+    """
+    return _declared(spark.read.options(**_CSV).csv(path), schema)
 
 
 def read_multiline_csv(
@@ -24,7 +41,7 @@ def read_multiline_csv(
     Such a file is read by one task. ``partitions`` spreads its rows afterwards; leave it out when an
     aggregation follows, which shuffles anyway.
     """
-    df = spark.read.options(**_CSV, multiLine="true").schema(schema).csv(path)
+    df = _declared(spark.read.options(**_CSV, multiLine="true").csv(path), schema)
     return df.repartition(partitions) if partitions else df
 
 

@@ -12,9 +12,10 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Write a catalog table, replacing what is there."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Write a catalog table, replacing what is there; ``path`` keeps its files outside the warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

@@ -96,15 +96,24 @@ def test_rank_on_many_range_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = pin(spark.range(30_000).select(F.col("id"), (F.xxhash64("id") % 5000).cast("double").alias("v")))
-        positions = ranking.value_positions(df, ["v"])
-        assert positions.n_values == df.select("v").distinct().count()
         expected = df.withColumn("r", F.rank().over(Window.orderBy("v")).cast("long"))
-        got = ranking.with_rank(df, "v", "r", descending=False, positions=positions)
-        assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
+        for max_local in (0, 1_000_000):
+            positions = ranking.value_positions(df, ["v"], max_local)
+            assert positions.n_values == df.select("v").distinct().count()
+            got = ranking.with_rank(df, "v", "r", descending=False, positions=positions)
+            assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_row_number_survives_session_partition_count(spark):
+def test_positions_of_several_measures(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (2.0, None)], "a double, b double")
+    for max_local in (0, 1_000_000):
+        table = ranking.value_positions(df, ["a", "b"], max_local).table
+        assert rows(table.filter("measure = 'a'")) == [("a", 1.0, 0, 1, 3), ("a", 2.0, 1, 2, 3)]
+        assert rows(table.filter("measure = 'b'")) == [("b", 5.0, 1, 2, 3), ("b", None, 0, 1, 3)]
+
+
+def test_row_number_of_no_rows(spark):
     empty = numbers(spark, [])
     assert ranking.with_row_number(empty, [F.col("k").asc()], "n").count() == 0

@@ -12,7 +12,7 @@ from dwellrank.session import pin, pin_measured, scratch_root
 from dwellrank.sources import sinks
 from dwellrank.sources.documents import earliest_events, flatten_events, merge_conditions, read_event_search
 from dwellrank.sources.documents import read_air_quality, read_weather
-from dwellrank.sources.files import read_csv, read_geojson, read_multiline_csv, staged_scores
+from dwellrank.sources.files import read_csv, read_geojson, read_multiline_csv, read_table, staged_scores
 from tests.conftest import rows
 
 
@@ -21,6 +21,15 @@ def test_csv_is_text_until_cast(spark, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "stops.csv"), schemas.STOPS)) == [("a", "52.5", "13.4"), ("b", "bad", None)]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("extra,departure_time,stop_id,trip_id\nx,8:00:00,s,t\n,,s2,\n")
+    found = rows(read_csv(spark, str(tmp_path / "t.csv"), schemas.STOP_TIMES))
+    assert found == [("t", "s", "8:00:00"), (None, "s2", None)]
+    (tmp_path / "n.csv").write_text("n,big,d\n3.0,9007199254740993,2024-05-01\nx,,soon\n")
+    found = rows(read_csv(spark, str(tmp_path / "n.csv"), "big bigint, n int, d date"))
+    assert found == [(9007199254740993, 3, datetime.date(2024, 5, 1)), (None, None, None)]
+
+
 def test_gzip_csv_with_line_breaks_and_quotes(spark, tmp_path):
     with gzip.open(tmp_path / "x.csv.gz", "wt") as f:
         f.write('k,text\n1,"two\nlines, and ""quotes"""\n2, spaced \n')
@@ -111,7 +120,16 @@ def test_replace_counts_in_the_same_pass(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
 
 
-def test_tables_and_staged_scores(spark, tmp_path):
+def test_catalog_tables_are_replaced_and_dropped(spark, tmp_path):
+    sinks.replace_table(spark.range(5), "replaced_numbers", str(tmp_path / "t"))
+    sinks.replace_table(spark.range(3), "replaced_numbers", str(tmp_path / "t"))
+    assert read_table(spark, "replaced_numbers").count() == 3
+    sinks.drop_table(spark, "replaced_numbers")
+    sinks.drop_table(spark, "replaced_numbers")
+    assert not spark.catalog.tableExists("replaced_numbers")
+
+
+def test_staged_scores(spark):
     df = spark.createDataFrame([("a", "1.5"), ("b", "bad")], "neighbourhood string, score string")
     df.createOrReplaceTempView("score_source")
     assert rows(staged_scores(spark, "score_source", "score")) == [("a", 1.5), ("b", None)]
