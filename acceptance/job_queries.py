@@ -80,7 +80,7 @@ def job_punctuality_by_area(t: Inputs) -> DataFrame:
 
 
 @query("""
-    select 1704067200 as snapshot_time, temperature_c, humidity_pct, wind_kmh, rain_mm, weather_code,
+    select 1704067200::bigint as snapshot_time, temperature_c, humidity_pct, wind_kmh, rain_mm, weather_code,
            european_aqi, pm2_5, pm10, ozone from v_conditions""")
 def job_conditions(t: Inputs) -> DataFrame:
     rows = merge_conditions(t.weather, t.air_quality, F.timestamp_seconds(F.lit(1704067200)))

@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellrank.functions.scalars import station_or_blank, station_or_null
+from dwellrank.session import pin
 
 
 def attach_group_total(df: DataFrame, key: str, measure: str, name: str) -> DataFrame:
-    """Put the sum of ``measure`` per ``key`` beside every row.
+    """Put the sum of ``measure`` per ``key`` beside every row of an aggregate.
 
-    The totals are aggregated from the same exchange and joined back: a window over the key would
-    bring all rows of a large group into one task.
+    The aggregate is pinned, so what is behind it runs once, and its totals are joined back: a window
+    over the key would bring all rows of a large group into one task.
     """
-    totals = df.groupBy(key).agg(F.sum(measure).alias(name))
-    return df.join(totals, key, "left").select(*df.columns, name)
+    groups = pin(df, "groups")
+    totals = groups.groupBy(key).agg(F.sum(measure).alias(name))
+    return groups.join(totals, key, "left").select(*df.columns, name)
 
 
 def station_areas(lookup: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def percent_rank_from_position() -> Column:
 def with_rank(
     df: DataFrame, column: str, name: str, descending: bool = True, positions: Positions | None = None
 ) -> DataFrame:
-    """Add the global rank of ``column``."""
+    """Add the global rank of ``column``. ``df`` is read twice, so it should be a scan or pinned."""
     positions = positions if positions is not None else value_positions(df, [column])
     placed = attach_positions(df, positions, column)
     return placed.withColumn(name, rank_from_position(descending)).select(*df.columns, name)
@@ -123,7 +123,7 @@ def with_rank(
 def with_percent_rank(
     df: DataFrame, column: str, name: str, digits: int = 2, positions: Positions | None = None
 ) -> DataFrame:
-    """Add the ascending percent rank of ``column``, rounded."""
+    """Add the ascending percent rank of ``column``, rounded. ``df`` is read twice."""
     positions = positions if positions is not None else value_positions(df, [column])
     placed = attach_positions(df, positions, column)
     value = F.round(percent_rank_from_position(), digits)
