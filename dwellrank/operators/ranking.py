@@ -24,57 +24,70 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its parti
 
 
 class Positions(NamedTuple):
-    """Per (measure, value): ``n_below``, ``n_equal``, ``n_total``; with what was counted of it."""
+    """Per (measure, value): ``n_below``, ``n_equal``, ``n_total``; with what was counted of it.
+
+    ``measure`` is the place of the column in ``columns``.
+    """
 
     table: DataFrame
+    columns: list[str]
     n_values: int
     has_hot_value: bool
 
 
 def value_positions(df: DataFrame, columns: list[str], max_local: int = MAX_LOCAL_VALUES) -> Positions:
     """Where each distinct value of each column stands among all rows. Nulls count as the lowest."""
-    measures = [F.col(c).cast("double").alias(c) for c in columns]
+    values = [F.col(c).cast("double") for c in columns]
     if len(columns) == 1:
-        long = df.select(F.lit(columns[0]).alias("measure"), measures[0].alias("value"))
+        keys = ["value"]  # sorting by the number alone is several times faster
+        long = df.select(values[0].alias("value"))
     else:
-        long = df.select(*measures).unpivot([], columns, "measure", "value")
+        keys = ["measure", "value"]
+        pairs = [F.struct(F.lit(i).alias("measure"), v.alias("value")) for i, v in enumerate(values)]
+        long = df.select(F.inline(F.array(*pairs)))
     counts, counted = pin_measured(
-        long.groupBy("measure", "value").agg(F.count("*").alias("n_equal")),
+        long.groupBy(*keys).agg(F.count("*").alias("n_equal")),
         "value-counts",
         n_values=F.count(F.lit(1)),
         n_most=F.max("n_equal"),
         n_rows=F.sum("n_equal"),
     )
     n_total = counted["n_rows"] // len(columns)
-    below = _below_in_one_window(counts) if counted["n_values"] <= max_local else _below_in_ranges(counts)
-    table = below.select("measure", "value", "n_below", "n_equal", F.lit(n_total).alias("n_total"))
-    return Positions(table, counted["n_values"], counted["n_most"] * hot_slices(df) > n_total)
+    below = _below_in_one_window if counted["n_values"] <= max_local else _below_in_ranges
+    table = below(counts, keys[:-1]).select(
+        F.col("measure") if "measure" in keys else F.lit(0).alias("measure"),
+        "value",
+        "n_below",
+        "n_equal",
+        F.lit(n_total).cast("long").alias("n_total"),
+    )
+    return Positions(table, columns, counted["n_values"], counted["n_most"] * hot_slices(df) > n_total)
 
 
-def _running(column: str, window: Window) -> Column:
+def _running(column: str, by: list[str], order: str) -> Column:
     """Sum of the rows before this one."""
+    window = Window.partitionBy(*by).orderBy(order) if by else Window.orderBy(order)
     before = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
-def _below_in_one_window(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("n_below", _running("n_equal", Window.partitionBy("measure").orderBy("value")))
+def _below_in_one_window(counts: DataFrame, by: list[str]) -> DataFrame:
+    return counts.withColumn("n_below", _running("n_equal", by, "value"))
 
 
-def _below_in_ranges(counts: DataFrame) -> DataFrame:
+def _below_in_ranges(counts: DataFrame, by: list[str]) -> DataFrame:
     ranged = pin(
-        counts.repartitionByRange("measure", "value").withColumn("slice", F.spark_partition_id()), "value-ranges"
+        counts.repartitionByRange(*by, "value").withColumn("slice", F.spark_partition_id()), "value-ranges"
     )
     # One row per measure and range partition: its size is bounded by the partition count.
     slices = (
-        ranged.groupBy("measure", "slice")
+        ranged.groupBy(*by, "slice")
         .agg(F.sum("n_equal").alias("n_slice"))
-        .withColumn("n_before", _running("n_slice", Window.partitionBy("measure").orderBy("slice")))
+        .withColumn("n_before", _running("n_slice", by, "slice"))
     )
-    inside = _running("n_equal", Window.partitionBy("measure", "slice").orderBy("value"))
     return (
-        ranged.withColumn("n_inside", inside)
-        .join(F.broadcast(slices), ["measure", "slice"])
+        ranged.withColumn("n_inside", _running("n_equal", [*by, "slice"], "value"))
+        .join(F.broadcast(slices), [*by, "slice"])
         .withColumn("n_below", F.col("n_before") + F.col("n_inside"))
     )
 
@@ -87,7 +100,7 @@ def attach_positions(
     The positions are broadcast while their counted number allows it. Beyond that the join is shuffled,
     with hot values split off if there are any; ``df`` is then read twice.
     """
-    table = positions.table.filter(F.col("measure") == column).select(
+    table = positions.table.filter(F.col("measure") == positions.columns.index(column)).select(
         F.col("value").alias("_value"), "n_below", "n_equal", "n_total"
     )
     keyed = df.withColumn("_value", F.col(column).cast("double"))
@@ -151,7 +164,7 @@ def with_row_number(df: DataFrame, order: list[Column], name: str, total: str |
         slices = (
             placed.groupBy("_slice")
             .agg(F.count("*").alias("_n"))
-            .select("_slice", _running("_n", Window.orderBy("_slice")).alias("_before"))
+            .select("_slice", _running("_n", [], "_slice").alias("_before"))
         )
         placed = placed.join(F.broadcast(slices), "_slice")
         place = place + F.col("_before")

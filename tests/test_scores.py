@@ -110,8 +110,8 @@ def test_positions_of_several_measures(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (2.0, None)], "a double, b double")
     for max_local in (0, 1_000_000):
         table = ranking.value_positions(df, ["a", "b"], max_local).table
-        assert rows(table.filter("measure = 'a'")) == [("a", 1.0, 0, 1, 3), ("a", 2.0, 1, 2, 3)]
-        assert rows(table.filter("measure = 'b'")) == [("b", 5.0, 1, 2, 3), ("b", None, 0, 1, 3)]
+        assert rows(table.filter("measure = 0")) == [(0, 1.0, 0, 1, 3), (0, 2.0, 1, 2, 3)]
+        assert rows(table.filter("measure = 1")) == [(1, 5.0, 1, 2, 3), (1, None, 0, 1, 3)]
 
 
 def test_row_number_of_no_rows(spark):
