@@ -40,17 +40,17 @@ def _cell(coordinate: Column, size: float) -> Column:
 
 
 def area_cells(areas: DataFrame, size: float) -> DataFrame:
-    """Rows (area columns but the geometry, cx, cy, edges): the edges each cell of an area can need."""
+    """Rows (area columns but the geometry, _cx, _cy, edges): the edges each cell of an area can need."""
     names = [c for c in areas.columns if c != "geometry"]
     boxed = areas.filter(F.col("geometry").isNotNull()).select(
         *names, polygon_edges(F.col("geometry")).alias("all_edges"), bounds(F.col("geometry")).alias("b")
     )
     cells = boxed.withColumn(
-        "cx", F.explode(F.sequence(_cell(F.col("b.min_x"), size), _cell(F.col("b.max_x"), size)))
-    ).withColumn("cy", F.explode(F.sequence(_cell(F.col("b.min_y"), size), _cell(F.col("b.max_y"), size))))
+        "_cx", F.explode(F.sequence(_cell(F.col("b.min_x"), size), _cell(F.col("b.max_x"), size)))
+    ).withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.min_y"), size), _cell(F.col("b.max_y"), size))))
     slack = size * 1e-6
-    low_x = F.col("cx") * size - slack
-    low_y, high_y = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
+    low_x = F.col("_cx") * size - slack
+    low_y, high_y = F.col("_cy") * size - slack, (F.col("_cy") + 1) * size + slack
 
     def needed(edge: Column) -> Column:
         return (
@@ -62,7 +62,7 @@ def area_cells(areas: DataFrame, size: float) -> DataFrame:
     kept = F.filter(
         F.transform(F.col("all_edges"), lambda edges: F.filter(edges, needed)), lambda edges: F.size(edges) > 0
     )
-    return cells.select(*names, "cx", "cy", kept.alias("edges")).filter(F.size("edges") > 0)
+    return cells.select(*names, "_cx", "_cy", kept.alias("edges")).filter(F.size("edges") > 0)
 
 
 def within_join(
@@ -85,8 +85,8 @@ def within_join(
     names = [c for c in areas.columns if c != "geometry"]
     in_cell = F.aggregate("edges", F.lit(0), lambda acc, edges: acc + F.size(edges))
     cells, counted = pin_measured(area_cells(areas, size), "area-cells", n_edges=F.sum(in_cell))
-    located = points.withColumns({"cx": _cell(F.col(x), size), "cy": _cell(F.col(y), size)})
-    on = ["cx", "cy"]
+    located = points.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
+    on = ["_cx", "_cy"]
     if counted["n_edges"] <= max_broadcast_edges:
         cells = F.broadcast(cells)
     else:

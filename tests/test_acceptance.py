@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__
 from acceptance.catalog import ORACLES, QUERIES
 from acceptance.compare import differences, open_tables
+from dwellrank.operators import ranking, skew, spatial
+from dwellrank.plans import mart
 from tests.conftest import SMALL
 
 
@@ -19,6 +21,24 @@ def test_query_equals_sql(spark, connection, name):
     assert differences(spark, connection, SMALL, name) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["mart_stay_score", "win_rank_hot_values", "join_lookup_broadcast", "agg_size_by_category", "anti_unmatched"]
+)
+def test_large_data_paths_equal_sql(spark, connection, monkeypatch, name):
+    """With every size limit at zero nothing is broadcast and no window adds up a whole column."""
+    monkeypatch.setattr(ranking.attach_positions, "__defaults__", (0,))
+    monkeypatch.setattr(ranking.value_positions, "__defaults__", (0,))
+    monkeypatch.setattr(skew.join_lookup, "__defaults__", (0,))
+    monkeypatch.setattr(spatial.within_join, "__defaults__", (*spatial.within_join.__defaults__[:-1], 0))
+    monkeypatch.setattr(mart, "MAX_BROADCAST_VALUES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert differences(spark, connection, SMALL, name) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_entry_returns_the_mart(spark):
     frame = __spark_entry__.entry(spark)
     assert frame.columns == [
