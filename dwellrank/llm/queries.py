@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from dwellrank.llm.common import crc_of_id, table, whole_text
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
+from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.llm.sharding import assign
 from dwellrank.llm.token_counts import token_counts
+from dwellrank.llm.token_files import corpus_files
 
 SHARDS = 40
 
@@ -30,6 +32,15 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"), older_half())
 
 
+def op5_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "round_trip", "ids")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = assign(table(spark, sf_dir, "documents"), SHARDS)
     return placed.select(
@@ -47,6 +58,8 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_sentencepiece_scan": op5_sentencepiece_scan,
+    "op8_token_files": op8_token_files,
     "op9_virtual_slots": op9_virtual_slots,
 }
 

@@ -1,3 +1,4 @@
+import functools
 from itertools import accumulate
 
 import numpy as np
@@ -13,10 +14,15 @@ from tests.llm.conftest import AWKWARD, SMALL
 import pyarrow as pa
 
 
-def library_count(texts):
+@functools.cache
+def word_tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    return Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+
+
+def library_count(texts):
+    tokenizer = word_tokenizer()
     return [len(tokenizer.encode(x or "", add_special_tokens=False)) for x in texts]
 
 
