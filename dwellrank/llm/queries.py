@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from dwellrank.llm.common import crc_of_id, table, whole_text
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
+from dwellrank.llm.language_id import fit, identify
+from dwellrank.llm.secrets import scan_secrets
 from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.llm.sharding import assign
 from dwellrank.llm.token_counts import token_counts
@@ -32,11 +34,27 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"), older_half())
 
 
+def op4_secret_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", "max_guess_cost"
+    )
+
+
 def op5_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "round_trip", "ids")
 
 
+def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc_of_id(), F.lit(4)) == 2
+    net = fit(docs, ~held_out)
+    return identify(docs.select("doc_id", "text"), net).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -58,7 +76,9 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_secret_costs": op4_secret_costs,
     "op5_sentencepiece_scan": op5_sentencepiece_scan,
+    "op7_byte_network": op7_byte_network,
     "op8_token_files": op8_token_files,
     "op9_virtual_slots": op9_virtual_slots,
 }
