@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from dwellrank.session import pin
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-    return tuple(row)
+def _finished(edges: DataFrame) -> bool:
+    """Whether every node points at one other node, which points at none."""
+    counts = edges.agg(F.count("*").alias("n"), F.count_distinct("u").alias("nodes")).first()
+    return counts.n == counts.nodes and edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,8 +25,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = pin(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    state = None
-    while True:
+    while not _finished(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Larger neighbours of every node go to its smallest neighbour.
@@ -37,10 +37,6 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                                 F.struct("u", F.col("m").alias("v")))).alias("e"))
         edges = pin(small.select("e.u", "e.v").filter("u <> v").distinct(), "small-star")
-        now = _state(edges)
-        if now == state:
-            break
-        state = now
     # Every node but the smallest of its component now points at that one.
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()

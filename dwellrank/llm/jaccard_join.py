@@ -7,7 +7,8 @@ ranked. A set lies nearest (at 1 - 1/size) to the shingles it holds, equal dista
 rank, so the first shingle is its Voronoi region. The bound on the distance limits how many leading
 shingles two close sets can fail to share; a set is replicated to that many regions, and no close pair
 is missed. Common shingles rank last: those counted more than ``HOT`` times go into a Bloom filter of
-bounded size, and any filter keeps the join exact, since it only fixes an order.
+bounded size, and any filter keeps the join exact, since it only fixes an order. Sets that consist of
+common shingles join once more among themselves, with counts of all their shingles.
 
 *Document pivots.* Regions of ranked shingles hold at most ``HOT`` rows and give all their pairs. A region
 of a hot shingle (sets that are made of common shingles, near copies by the thousand) picks document
@@ -33,7 +34,8 @@ from dwellrank.session import pin
 
 WIDTH = 5  # words of a shingle
 HOT = 32  # rows of a region that gives all its pairs
-COUNTED = np.uint64(int(0.35 * 2**64))  # shingle hashes below are counted, more than any prefix needs
+PART = int(0.35 * 2**64)  # of all sets, shingles with hashes below are counted: more than a prefix needs
+ALL = 2**64 - 1  # of sets in hot regions, all are
 BLOOM_BITS = 1 << 25  # at most
 BLOOM_PROBES = 4
 PIVOTS = 4  # document pivots of a region and round
@@ -92,6 +94,20 @@ def _distinct_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
                 yield key, s
 
 
+def _set_reader(docs: DataFrame, only: Bloom | None):
+    """A function from a batch to its distinct sets, those that ``only`` may hold."""
+    shared = None if only is None else docs.sparkSession.sparkContext.broadcast(only.words)
+
+    def read(batch: pa.RecordBatch) -> list[tuple[int, np.ndarray]]:
+        rows = list(_distinct_sets(batch))
+        if shared is None or not rows:
+            return rows
+        hit = Bloom(shared.value).hits(np.array([k for k, _ in rows], np.int64).astype(np.uint64))
+        return [r for r, h in zip(rows, hit) if h]
+
+    return read
+
+
 def document_nodes(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, node (key of its set; null if empty) and n_shingles of every row."""
 
@@ -127,9 +143,6 @@ class Bloom:
         a, b = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
         return np.stack([(a + np.uint64(k) * b) & np.uint64(bits - 1) for k in range(BLOOM_PROBES)])
 
-    def __contains__(self, values: np.ndarray) -> bool:
-        raise TypeError("use hits()")
-
     def hits(self, values: np.ndarray) -> np.ndarray:
         places = self.places(values, len(self.words) * 64)
         set_ = (self.words[(places >> np.uint64(6)).astype(np.int64)] >> (places & np.uint64(63))) & np.uint64(1)
@@ -174,29 +187,35 @@ def index_length(n: int) -> int:
     return n - -(-8 * n // 9) + 1
 
 
-def counted_part(s: np.ndarray) -> np.ndarray:
+def counted_part(s: np.ndarray, counted: int) -> np.ndarray:
     """The shingles of a sorted set that are counted; they cover every prefix."""
-    return s[: max(int(np.searchsorted(s, COUNTED)), prefix_length(len(s)))]
+    return s[: max(int(np.searchsorted(s, np.uint64(counted), "right")), prefix_length(len(s)))]
+
+
+def rankable_part(s: np.ndarray, counted: int) -> np.ndarray:
+    """The leading part of a sorted set whose rank can matter."""
+    part = counted_part(s, counted)
+    return s if len(part) and part[-1] > np.uint64(counted) else part
 
 
-def ranked_prefix(s: np.ndarray, hot: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix of a sorted set and which of it is hot.
+def ranked_prefix(inside: np.ndarray, hot: np.ndarray, p: int, counted: int) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix of ``p`` shingles of a set and which of them are hot.
 
-    Rank: counted and not hot, then hot, then the rest, by hash in each. ``hot`` says it for ``inside``,
-    the leading part of the set that can matter.
+    Rank: counted and not hot, then hot, then the rest, by hash in each. Shingles of the first and last
+    kind were counted by every set that has them in its prefix, so their regions are small.
     """
-    p = prefix_length(len(s))
-    counted = inside < COUNTED
+    counted = inside <= np.uint64(counted)
     order = np.concatenate([np.flatnonzero(counted & ~hot), np.flatnonzero(hot), np.flatnonzero(~counted & ~hot)])[:p]
     return inside[order], hot[order]
 
 
-def hot_shingles(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
-    """Shingles counted in more than ``HOT`` rows, and their number."""
+def hot_shingles(docs: DataFrame, text: str, counted: int, only: Bloom | None = None) -> tuple[DataFrame, int]:
+    """Shingles counted in more than ``HOT`` rows, and their number; ``only`` picks sets by their key."""
+    sets = _set_reader(docs, only)
 
     def run(batches):
         for batch in batches:
-            parts = [counted_part(s) for _, s in _distinct_sets(batch)]
+            parts = [counted_part(s, counted) for _, s in sets(batch)]
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).astype(np.int64))], ["shingle"])
 
@@ -210,26 +229,27 @@ def hot_shingles(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
     return hot.filter(F.col("n") > limit).select("shingle"), n
 
 
-def region_rows(docs: DataFrame, text: str, bloom: Bloom) -> DataFrame:
+def region_rows(docs: DataFrame, text: str, bloom: Bloom, counted: int, only: Bloom | None = None) -> DataFrame:
     """shingle, node, n, leading (in the shorter prefix) and hot, for every region a set belongs to."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom.words)
+    sets = _set_reader(docs, only)
 
     def run(batches):
         filter_ = Bloom(shared.value)
         for batch in batches:
-            rows = list(_distinct_sets(batch))
+            rows = sets(batch)
             if not rows:
                 continue
-            inside = [s if (c := counted_part(s)).size and c[-1] >= COUNTED else c for _, s in rows]
+            inside = [rankable_part(s, counted) for _, s in rows]
             hits = np.split(filter_.hits(np.concatenate(inside)), np.cumsum([len(x) for x in inside])[:-1])
-            found = [ranked_prefix(s, h, i) for (_, s), h, i in zip(rows, hits, inside)]
+            found = [ranked_prefix(i, h, prefix_length(len(s)), counted) for (_, s), h, i in zip(rows, hits, inside)]
             lengths = [len(f[0]) for f in found]
             sizes = np.array([len(s) for _, s in rows])
             leading = np.concatenate([np.arange(k) < index_length(n) for k, n in zip(lengths, sizes.tolist())])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([f[0] for f in found]).astype(np.int64)),
-                    pa.array(np.repeat([k for k, _ in rows], lengths), pa.int64()),
+                    pa.array(np.repeat(np.array([k for k, _ in rows], np.int64), lengths)),
                     pa.array(np.repeat(sizes, lengths).astype(np.int32)),
                     pa.array(leading),
                     pa.array(np.concatenate([f[1] for f in found])),
@@ -292,17 +312,12 @@ def small_region_pairs(rows: DataFrame) -> DataFrame:
 
 
 def needed_sets(docs: DataFrame, text: str, nodes: DataFrame, n: int) -> DataFrame:
-    """node and its whole set as sorted bytes, for all ``nodes`` (and a few others)."""
-    shared = docs.sparkSession.sparkContext.broadcast(build_bloom(nodes, n).words)
+    """node and its whole set as sorted bytes, for all of the distinct ``nodes``."""
+    sets = _set_reader(docs, build_bloom(nodes, n))
 
     def run(batches):
-        filter_ = Bloom(shared.value)
         for batch in batches:
-            rows = list(_distinct_sets(batch))
-            if not rows:
-                continue
-            hit = filter_.hits(np.array([k for k, _ in rows], np.int64).astype(np.uint64))
-            rows = [r for r, h in zip(rows, hit) if h]
+            rows = sets(batch)
             for at in range(0, len(rows), 1000):
                 part = rows[at : at + 1000]
                 yield pa.RecordBatch.from_arrays(
@@ -311,7 +326,7 @@ def needed_sets(docs: DataFrame, text: str, nodes: DataFrame, n: int) -> DataFra
                 )
 
     found = _texts(docs, text).mapInArrow(run, "node long, shingles binary")
-    return found.join(nodes.distinct().toDF("node"), "node", "left_semi").dropDuplicates(["node"])
+    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -335,7 +350,7 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(x, "a").join(y, "b").mapInArrow(run, "a long, b long, common long, total long")
 
 
-LINKED = 100 * F.col("common") >= 80 * F.col("total")
+LINKED = "100 * common >= 80 * total"
 
 
 # --- document pivots ----------------------------------------------------------------------------
@@ -350,20 +365,19 @@ def _chosen_pivots(regions: DataFrame) -> DataFrame:
 
 
 def split_hot_regions(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """All links needed to connect what is connected inside hot regions, with ``links`` found before.
+    """node and label of all classes, from ``links`` and those that connect what is close in hot regions.
 
     ``regions`` has region and node. Each round measures members against pivots; a pair of members in
     different classes can only be close if their distances to every pivot differ by the radius at most.
     """
-    regions = pin(regions.distinct(), "hot-regions")
+    labels = pin(components(links), "labels")
     while not regions.isEmpty():
-        labels = pin(components(links), "labels")
         marked = regions.join(labels, "node", "left").select("region", "node", F.coalesce("label", "node").alias("label"))
         apart = marked.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"))
         open_regions = apart.filter("lo <> hi")
         regions = pin(marked.join(open_regions, "region"), "open-regions")
         if regions.isEmpty():
-            break
+            break  # every hot region lies in one class
         pivots = pin(_chosen_pivots(regions.select("region", "node")), "pivots")
         star = regions.select("region", "node").join(pivots.select("region", "pivot"), "region")
         pairs = star.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
@@ -390,7 +404,7 @@ def split_hot_regions(regions: DataFrame, sets: DataFrame, links: DataFrame) ->
             F.bool_and(F.col("outside") | F.col("in_ring")).alias("keep"), F.bool_or(F.col("node") == F.col("pivot")).alias("met")
         )
         regions = pin(kept.filter("keep and not met").select("region", "node"), "hot-regions")
-    return links
+    return labels
 
 
 # --- the join -----------------------------------------------------------------------------------
@@ -404,19 +418,25 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     when 100 * intersection >= 80 * union; component_id is the smallest doc_id that links reach. Null,
     empty and blank texts have an empty set and stay alone. Repeated rows link; a null doc_id takes part
     but names no component unless it is alone. Shingles and sets are known by 64-bit hashes, and all else
-    is exact. Texts are read four times and never shuffled; sets move only for candidate pairs.
+    is exact. Texts are read up to six times and never shuffled; sets move only for candidate pairs.
     """
     nodes = pin(document_nodes(docs, text), "nodes")
-    hot, n_hot = hot_shingles(docs, text)
-    rows = pin(region_rows(docs, text, build_bloom(hot, n_hot)), "regions")
+    rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, PART)), PART), "regions")
     pairs = pin(small_region_pairs(rows), "candidates")
-    regions = pin(rows.filter("hot").select(F.col("shingle").alias("region"), "node").distinct(), "hot-regions")
+    # Sets that fill their prefix with hot shingles join again among themselves, by all they hold.
+    regions = rows.filter("hot").select(F.col("shingle").alias("region"), "node")
+    common = pin(regions.select("node").distinct(), "common")
+    n_common = common.count()
+    if n_common:
+        only = build_bloom(common, n_common)
+        rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, ALL, only)), ALL, only), "regions")
+        pairs = pin(pairs.union(small_region_pairs(rows)).distinct(), "candidates")
+        regions = pin(rows.filter("hot").select(F.col("shingle").alias("region"), "node").distinct(), "hot-regions")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(regions.select("node")).distinct()
     wanted = pin(wanted, "wanted")
     sets = pin(needed_sets(docs, text, wanted, wanted.count()), "sets")
     links = pin(measured(pairs, sets).filter(LINKED).select("a", "b"), "links")
-    links = split_hot_regions(regions, sets, links)
-    labels = pin(components(links), "labels")
+    labels = split_hot_regions(regions, sets, links)
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     # Documents alone in their class need no partner in this join.

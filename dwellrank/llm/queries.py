@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dwellrank.llm.common import crc_of_id, table, whole_text
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
+from dwellrank.llm.jaccard_join import near_duplicate_classes
 from dwellrank.llm.language_id import fit, identify
 from dwellrank.llm.secrets import scan_secrets
 from dwellrank.llm.sentencepiece_scan import encode
@@ -46,6 +47,10 @@ def op5_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "round_trip", "ids")
 
 
+def op6_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(crc_of_id(), F.lit(4)) == 2
@@ -78,6 +83,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_costs": op4_secret_costs,
     "op5_sentencepiece_scan": op5_sentencepiece_scan,
+    "op6_jaccard_regions": op6_jaccard_regions,
     "op7_byte_network": op7_byte_network,
     "op8_token_files": op8_token_files,
     "op9_virtual_slots": op9_virtual_slots,
