@@ -31,20 +31,21 @@ _SPACE = r"[ \t\n\x0B\f\r]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shingle_hashes(text: Column) -> Column:
-    """Hashes of all 5-word shingles in order; a text with fewer words is one shingle, an empty one none."""
-    trimmed = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), f"^{_SPACE}|{_SPACE}$", "")
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE))
-    # One pass hashes words, a second one joins five neighbours.
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def with_shingles(rows: DataFrame, text: str, out: str) -> DataFrame:
+    """``rows`` with an array of the hashes of all 5-word shingles in order instead of the text.
 
-    def at(i: Column, k: int) -> Column:
-        return F.get(hashes, i + k)
-
-    whole = F.array(F.xxhash64(F.lit(WIDTH), hashes))
-    numbers = F.sequence(F.lit(0), F.size(hashes) - WIDTH)
-    many = F.transform(numbers, lambda i: F.xxhash64(*[at(i, k) for k in range(WIDTH)]))
-    return F.when(F.size(hashes) >= WIDTH, many).when(F.size(hashes) > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    A text with fewer words is one shingle, an empty one none.
+    """
+    others = [c for c in rows.columns if c != text]
+    lowered = F.btrim(F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _LOWER), F.lit(" \t\n\x0b\f\r"))
+    words = F.when(lowered == "", F.array().cast("array<string>")).otherwise(F.split(lowered, _SPACE))
+    # The hashes of words are a column of their own, so that they are made once and not for each use.
+    hashed = rows.select(*others, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
+    h = F.col("_h")
+    many = F.transform(F.sequence(F.lit(0), F.size(h) - WIDTH), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WIDTH)]))
+    short = F.array(F.xxhash64(F.lit(WIDTH), h))
+    found = F.when(F.size(h) >= WIDTH, many).when(F.size(h) > 0, short).otherwise(F.array().cast("array<bigint>"))
+    return hashed.select(*others, found.alias(out))
 
 
 def _packed(shingle: Column) -> list[Column]:
@@ -71,7 +72,7 @@ def fingerprints(shingles: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and fingerprint, from one row per shingle occurrence; combined before the shuffle."""
     packed = shingles.select(*keys, *_packed(F.col("shingle")))
     sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(BITS // LANES)]
-    return packed.groupBy(*keys).agg(F.count("*").alias("weight"), *sums).select(*keys, _fingerprint(F.col("weight")).alias("fingerprint"))
+    return packed.groupBy(*keys).agg(F.count("*").alias("_weight"), *sums).select(*keys, _fingerprint(F.col("_weight")).alias("fingerprint"))
 
 
 def blocks(fingerprint: Column, radius: int = RADIUS) -> Column:
@@ -90,70 +91,68 @@ def find_passages(
 ) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity, start, n_shingles.
 
-    ``start`` is the shingle (of the document, from 0) where the best window begins, ``n_shingles`` its
-    size; of equal windows the first counts. Items and documents are lower-cased (A-Z) and split at ASCII
-    white space; one of fewer than five words is a single shingle and meets only a document that equals
-    it. Null and empty texts and items match nothing. Equal rows are found once, rows that differ under
-    one doc_id together. Texts are read once and not shuffled: only shingles that occur in an item leave
-    their task, and each distinct window is compared once, in however many documents it lies.
+    ``start`` is the shingle (of the document, from 0) where the best window begins, ``n_shingles`` the
+    size of the item; of equal windows the first counts. A window has the size of the item, or is the whole
+    document if that is shorter. Items and documents are lower-cased (A-Z) and split at ASCII white space;
+    one of fewer than five words is a single shingle and meets only a text that equals it. Null and empty
+    texts and items match nothing. Equal rows are found once, rows that differ under one doc_id together.
+    Texts are read once and not shuffled: only shingles that occur in an item leave their task, and each
+    distinct window is compared once, in however many documents it lies.
     """
-    need = f"ceil({similarity} * 2 / (1 + {similarity}) * size - 1e-9)"
-    items = benchmark.select("item_id", shingle_hashes(F.col(text)).alias("all")).withColumn("size", F.size("all"))
-    item_shingles = pin(items.select("item_id", "size", F.explode("all").alias("shingle")), "item-shingles")
+    share = f"{similarity} / (1 + {similarity})"  # of both weights, what must be common
+    items = with_shingles(benchmark.select("item_id", text), text, "all").withColumn("size", F.size("all"))
+    # The outer forms keep Spark from deriving a filter that would make the hashes a second time.
+    listed = items.select("item_id", "size", F.explode_outer("all").alias("shingle"))
+    item_shingles = pin(listed.filter("shingle is not null"), "item-shingles")
     vocabulary = pin(item_shingles.select("shingle", "size").distinct(), "item-vocabulary")
-    numbered = docs.select(
-        "doc_id",
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"),
-        F.posexplode(shingle_hashes(F.col(text))).alias("position", "shingle"),
+    copies = docs.select("doc_id", F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("copy"), text)
+    numbered = with_shingles(copies, text, "all").select(
+        "doc_id", "copy", F.size("all").alias("length"), F.posexplode_outer("all").alias("position", "shingle")
     )
     # Spark broadcasts the vocabulary while its measured size allows, else it shuffles by shingle.
-    known = numbered.join(vocabulary, "shingle").select("doc_id", "copy", "size", "position", "shingle")
+    known = numbered.join(vocabulary, "shingle")
     # Known shingles of one document and size, in order: no more than the document has.
-    lists = known.groupBy("doc_id", "copy", "size").agg(F.sort_array(F.collect_set(F.struct("position", "shingle"))).alias("hits"))
-    enough = lists.withColumn("need", F.expr(need).cast("int")).filter(F.size("hits") >= F.col("need"))
-    # A window starts at hit i and is dense enough if the hit it needs last lies inside it.
-    dense = F.expr(
-        "filter(sequence(0, size(hits) - need), i -> hits[i + need - 1].position < hits[i].position + size)"
+    lists = known.groupBy("doc_id", "copy", "length", "size").agg(
+        F.sort_array(F.collect_set(F.struct("position", "shingle"))).alias("hits")
     )
+    weighed = lists.withColumn("weight", F.least("size", "length"))
+    enough = weighed.withColumn("need", F.expr(f"cast(ceil({share} * (size + weight) - 1e-9) as int)")).filter("size(hits) >= need")
+    # A window starts at hit i and is dense enough if the hit it needs last lies inside it.
+    dense = F.expr("filter(sequence(0, size(hits) - need), i -> hits[i + need - 1].position < hits[i].position + size)")
     starts = enough.withColumn("i", F.explode(dense)).withColumn("start", F.expr("hits[i].position"))
     inside = F.expr("transform(filter(slice(hits, i + 1, size), h -> h.position < start + size), h -> h.shingle)")
-    windows = pin(
-        starts.withColumn("inside", inside)
-        .select("doc_id", "size", "start", "inside", F.xxhash64("size", "inside").alias("window"), F.sha2(F.to_binary(F.concat_ws(",", "inside"), F.lit("utf-8")), 256).alias("digest"))
-        .drop("window")
-        .withColumnRenamed("digest", "window"),
-        "windows",
-    )
-    # What the end of a document cuts off is missing from the window's weight only if the item is longer;
-    # counting the full size instead is the stricter reading and treats all windows alike.
-    contents = pin(windows.select("window", "size", "inside").dropDuplicates(["window", "size"]), "window-contents")
-    content = contents.select("window", "size", F.explode("inside").alias("shingle"))
-    window_prints = fingerprints(content, ["window", "size"])
+    cut = starts.select("doc_id", "size", "weight", "start", inside.alias("inside"))
+    name = F.sha2(F.concat_ws(",", F.col("inside").cast("array<string>")).cast("binary"), 256)
+    windows = pin(cut.withColumn("window", name), "windows")
+    contents = pin(windows.select("window", "size", "weight", "inside").dropDuplicates(["window", "size", "weight"]), "window-contents")
+    content = contents.select("window", "size", "weight", F.explode("inside").alias("shingle"))
+    keys = ["window", "size", "weight"]
+    window_prints = fingerprints(content, keys)
     item_prints = fingerprints(item_shingles, ["item_id", "size"])
-    a = window_prints.select("window", "size", "fingerprint", F.explode(blocks(F.col("fingerprint"), radius)).alias("block"))
-    b = item_prints.select("item_id", "size", F.col("fingerprint").alias("other"), F.explode(blocks(F.col("fingerprint"), radius)).alias("block"))
+    block = F.explode(blocks(F.col("fingerprint"), radius)).alias("block")
+    a = window_prints.select(*keys, "fingerprint", block)
+    b = item_prints.select("item_id", "size", F.col("fingerprint").alias("other"), block)
     candidates = (
         a.join(b, ["size", "block"])
         .filter(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= radius)
-        .select("window", "size", "item_id")
+        .select(*keys, "item_id")
         .distinct()
     )
-    # Weighted similarity: smaller by larger counts, over all shingles of the window and the item.
-    left = content.groupBy("window", "size", "shingle").agg(F.count("*").alias("here"))
+    # Weighted similarity: common over united counts of all shingles of the window and the item.
+    left = content.groupBy(*keys, "shingle").agg(F.count("*").alias("here"))
     right = item_shingles.groupBy("item_id", "shingle").agg(F.count("*").alias("there"))
     common = (
-        candidates.join(left, ["window", "size"])
+        candidates.join(left, keys)
         .join(right, ["item_id", "shingle"])
-        .groupBy("window", "size", "item_id")
+        .groupBy(*keys, "item_id")
         .agg(F.sum(F.least("here", "there")).alias("common"))
     )
-    verified = common.withColumn("similarity", F.col("common") / (2 * F.col("size") - F.col("common"))).filter(
-        F.col("similarity") >= similarity - 1e-12
-    )
+    ratio = F.col("common") / (F.col("size") + F.col("weight") - F.col("common"))
+    verified = common.withColumn("similarity", ratio).filter(F.col("similarity") >= similarity - 1e-12)
     best = F.struct("similarity", (-F.col("start")).alias("first"), "size")
     return (
-        windows.select("doc_id", "window", "size", "start")
-        .join(verified.select("window", "size", "item_id", "similarity"), ["window", "size"])
+        windows.select("doc_id", *keys, "start")
+        .join(verified.select(*keys, "item_id", "similarity"), keys)
         .groupBy("doc_id", "item_id")
         .agg(F.max(best).alias("best"))
         .select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellrank.llm.common import crc_of_id, table, whole_text
+from dwellrank.llm.decontamination import find_passages
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
 from dwellrank.llm.jaccard_join import near_duplicate_classes
 from dwellrank.llm.language_id import fit, identify
@@ -24,6 +25,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     sized = docs.withColumn("n_bytes", F.octet_length(whole_text()).cast("long")).select("doc_id", "text", "n_bytes")
@@ -79,6 +84,7 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash_windows": op1_simhash_windows,
     "op2_token_counts": op2_token_counts,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_secret_costs": op4_secret_costs,
