@@ -10,6 +10,7 @@ from dwellrank.llm.decontamination import find_passages
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
 from dwellrank.llm.jaccard_join import near_duplicate_classes
 from dwellrank.llm.language_id import fit, identify
+from dwellrank.llm.ppm_scores import scored
 from dwellrank.llm.secrets import scan_secrets
 from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.llm.sharding import assign
@@ -83,6 +84,14 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(crc_of_id(), F.lit(10)) == 0
+    found = scored(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
     "op1_simhash_windows": op1_simhash_windows,
     "op2_token_counts": op2_token_counts,
@@ -93,6 +102,7 @@ QUERIES = {
     "op7_byte_network": op7_byte_network,
     "op8_token_files": op8_token_files,
     "op9_virtual_slots": op9_virtual_slots,
+    "op10_partial_matching": op10_partial_matching,
 }
 
 ORACLES = {
