@@ -1,26 +1,62 @@
-"""A pipeline that turns raw documents into training text, one operator per stage."""
+"""A pipeline that turns raw documents into training text, one operator per stage.
+
+Every stage takes all that its predecessor kept and decides by the operator's own rules. Rows with a null
+doc_id pass stages that name documents by id.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import table
+from dwellrank.llm.common import crc_of_id, table
+from dwellrank.llm.decontamination import clean_documents
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
+from dwellrank.llm.jaccard_join import near_duplicate_classes
+from dwellrank.llm.language_id import UNKNOWN, fit, identify
+from dwellrank.llm.queries import tokenizer_file
+from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.session import pin
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language stay; those without any letter go. The network learns as in its query."""
+    net = fit(docs, F.pmod(crc_of_id(), F.lit(4)) != 2)
+    known = identify(docs, net).filter(F.col("lang_pred") != UNKNOWN) if net else docs.filter(F.col("text").rlike(r"\p{L}"))
+    return known.select(*docs.columns)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id stays."""
-    kept = duplicate_classes(docs, older_half()).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    copies = duplicate_classes(docs, older_half()).filter("not kept and doc_id is not null").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti")
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links connect, the one with the smallest doc_id stays."""
+    copies = near_duplicate_classes(docs).filter("doc_id <> component_id").select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti")
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a passage of the benchmark was found go."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns, the ids of the text, and whether decoding gives it back."""
+    return encode(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
 STAGES = [
+    ("language_id", keep_known_languages),
     ("exact_dedup", drop_exact_copies),
+    ("jaccard_join", keep_one_of_near_copies),
+    ("decontamination", drop_benchmark_passages),
+    ("sentencepiece", encode_pieces),
 ]
 
-# No SQL can express the language model and the tokenizer.
+# No SQL can express the trained network and the tokenizer; tests compare run() with plain Python.
 ORACLE_SQL = None
 
 
