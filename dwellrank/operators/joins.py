@@ -13,11 +13,12 @@ def attach_group_total(df: DataFrame, key: str, measure: str, name: str) -> Data
     """Put the sum of ``measure`` per ``key`` beside every row of an aggregate.
 
     The aggregate is pinned, so what is behind it runs once, and its totals are joined back: a window
-    over the key would bring all rows of a large group into one task.
+    over the key would bring all rows of a large group into one task, while Spark splits a crowded key of
+    this join. A null key is a group like any other.
     """
     groups = pin(df, "groups")
-    totals = groups.groupBy(key).agg(F.sum(measure).alias(name))
-    return groups.join(totals, key, "left").select(*df.columns, name)
+    totals = groups.groupBy(F.col(key).alias("_key")).agg(F.sum(measure).alias(name))
+    return groups.join(totals, F.col(key).eqNullSafe(F.col("_key")), "left").select(*df.columns, name)
 
 
 def station_areas(lookup: DataFrame) -> DataFrame:

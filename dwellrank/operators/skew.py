@@ -73,15 +73,17 @@ def with_salts(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFr
     every left row still meets every right row of its key exactly once, for inner and left joins.
     """
     parts = hot_slices(left)
-    total = left.count()
-    counts = left.groupBy(*on).agg(F.count("*").alias("_n"))
+    counts = pin(left.groupBy(*on).agg(F.count("*").alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     size = max(total / parts, 1.0)
     # Fewer than `parts` rows by construction.
     hot = F.broadcast(
         counts.filter(F.col("_n") > size).select(*on, F.ceil(F.col("_n") / size).cast("int").alias("_salts"))
     )
-    picked = F.pmod(F.xxhash64(*left.columns), F.coalesce(F.col("_salts"), F.lit(1)))
-    salted_left = left.join(hot, on, "left").withColumn("_salt", picked.cast("int")).drop("_salts")
+    # Rows get their salts in turn, so equal rows are split as well.
+    turn = left.withColumn("_turn", F.monotonically_increasing_id())
+    picked = F.pmod(F.col("_turn"), F.coalesce(F.col("_salts"), F.lit(1)))
+    salted_left = turn.join(hot, on, "left").withColumn("_salt", picked.cast("int")).drop("_salts", "_turn")
     every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     salted_right = right.join(hot, on, "left").withColumn("_salt", every).drop("_salts")
     return salted_left, salted_right

@@ -1,68 +1,58 @@
-"""Points in polygons through a grid.
+"""Points in polygons through grids.
 
-Every polygon is cut into grid cells, each cell keeping only the edges a test of a point in that
-cell can need. A point joins the cells on its own cell and runs the test on those few edges, inside
-the join condition, so no (point, edge) pair is ever a row.
+Every polygon is cut into the cells of a grid whose size fits its own extent, each cell keeping only the
+edges a test of a point in that cell can need. A point joins the cells on its own cell of every grid in use
+and runs the test on those few edges, inside the join condition, so no (point, edge) pair is ever a row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellrank.functions.geometry import bounds, polygon_edges, strictly_within
+from dwellrank.functions.geometry import bounds, is_valid, polygon_edges, strictly_within
 from dwellrank.operators.skew import with_salts
-from dwellrank.session import pin_measured
+from dwellrank.session import pin, pin_measured
 
-MAX_CELLS = 1_000_000
-MAX_BROADCAST_EDGES = 1_000_000  # about 64 MB
+STEP = 4  # a grid's cells are this many times as wide as those of the next finer one
+FINEST = -20  # power of STEP; narrower polygons use this grid
+MAX_BROADCAST_EDGES = 100_000  # about 6 MB in memory: the cells hold numbers only
 
 
-def choose_cell_size(areas: DataFrame, max_cells: int = MAX_CELLS) -> float:
-    """Half the median polygon extent, or more where that would make too many cells."""
-    box = bounds(F.col("geometry"))
-    sides = areas.select(box.alias("b")).select(
-        (F.col("b.max_x") - F.col("b.min_x")).alias("w"), (F.col("b.max_y") - F.col("b.min_y")).alias("h")
-    )
-    stats = sides.agg(
-        F.percentile_approx(F.greatest("w", "h"), 0.5).alias("extent"),
-        F.sum(F.col("w") + F.col("h")).alias("around"),
-        F.sum(F.col("w") * F.col("h")).alias("covered"),
-    ).first()
-    if stats.extent is None:
-        return 1.0
-    size = max(stats.extent / 2, stats.around / max_cells, (stats.covered / max_cells) ** 0.5)
-    return size or 1.0
+def grid_level(extent: Column) -> Column:
+    """The grid of a polygon: the largest power of ``STEP`` up to its extent, so it spans 25 cells at most."""
+    exact = F.floor(F.log(float(STEP), F.greatest(extent, F.lit(float(STEP) ** FINEST))) + 1e-9)
+    return F.greatest(exact, F.lit(FINEST)).cast("int")
 
 
-def _cell(coordinate: Column, size: float) -> Column:
-    return F.floor(coordinate / F.lit(size)).cast("long")
+def _cell(coordinate: Column, size: Column) -> Column:
+    return F.floor(coordinate / size).cast("long")
 
 
-def area_cells(areas: DataFrame, size: float) -> DataFrame:
-    """Rows (area columns but the geometry, _cx, _cy, edges): the edges each cell of an area can need."""
-    names = [c for c in areas.columns if c != "geometry"]
-    boxed = areas.filter(F.col("geometry").isNotNull()).select(
-        *names, polygon_edges(F.col("geometry")).alias("all_edges"), bounds(F.col("geometry")).alias("b")
-    )
-    cells = boxed.withColumn(
-        "_cx", F.explode(F.sequence(_cell(F.col("b.min_x"), size), _cell(F.col("b.max_x"), size)))
-    ).withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.min_y"), size), _cell(F.col("b.max_y"), size))))
-    slack = size * 1e-6
-    low_x = F.col("_cx") * size - slack
-    low_y, high_y = F.col("_cy") * size - slack, (F.col("_cy") + 1) * size + slack
-
-    def needed(edge: Column) -> Column:
-        return (
-            (F.greatest(edge.x1, edge.x2) >= low_x)
-            & (F.greatest(edge.y1, edge.y2) >= low_y)
-            & (F.least(edge.y1, edge.y2) <= high_y)
-        )
-
-    kept = F.filter(
-        F.transform(F.col("all_edges"), lambda edges: F.filter(edges, needed)), lambda edges: F.size(edges) > 0
-    )
-    return cells.select(*names, "_cx", "_cy", kept.alias("edges")).filter(F.size("edges") > 0)
+def area_cells(areas: DataFrame, key: str, cell_size: float | None = None) -> DataFrame:
+    """Rows (key, _level, _cx, _cy, edges): the edges each cell of an area can need.
+
+    ``cell_size`` puts all areas on one grid of that size, level 0.
+    """
+    size = F.lit(cell_size) if cell_size else F.pow(F.lit(float(STEP)), F.col("_level"))
+    boxed = areas.select(key, polygon_edges(F.col("geometry")).alias("all_edges"), bounds(F.col("geometry")).alias("b"))
+    extent = F.greatest(F.col("b.max_x") - F.col("b.min_x"), F.col("b.max_y") - F.col("b.min_y"))
+    leveled = boxed.withColumn("_level", F.lit(0) if cell_size else grid_level(extent)).withColumn("_size", size)
+
+    def kept(edges: str, needed) -> Column:
+        return F.filter(F.transform(edges, lambda ring: F.filter(ring, needed)), lambda ring: F.size(ring) > 0)
+
+    # Columns of cells first, then the cells of each column, from that column's edges.
+    width, slack = F.col("_size"), F.col("_size") * 1e-6
+    columns = leveled.withColumn("_cx", F.explode(F.sequence(_cell(F.col("b.min_x"), width), _cell(F.col("b.max_x"), width))))
+    low_x = F.col("_cx") * width - slack
+    columns = columns.withColumn("by_column", kept("all_edges", lambda e: F.greatest(e.x1, e.x2) >= low_x)).drop("all_edges")
+    cells = columns.withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.min_y"), width), _cell(F.col("b.max_y"), width))))
+    low_y, high_y = F.col("_cy") * width - slack, (F.col("_cy") + 1) * width + slack
+    edges = kept("by_column", lambda e: (F.greatest(e.y1, e.y2) >= low_y) & (F.least(e.y1, e.y2) <= high_y))
+    return cells.select(key, "_level", "_cx", "_cy", edges.alias("edges")).filter(F.size("edges") > 0)
 
 
 def within_join(
@@ -76,30 +66,48 @@ def within_join(
 ) -> DataFrame:
     """Points with the columns of every area they lie strictly within.
 
-    ``areas`` has a ``geometry`` and any other columns. A point in two areas gives two rows; with
-    ``how="left"`` a point in none gives one row of nulls. The cells are pinned and measured: they are
-    broadcast below ``max_broadcast_edges``, otherwise both sides are shuffled by cell with the
-    crowded cells salted.
+    ``areas`` has a ``geometry`` and any other columns; those whose geometry is not valid (open, short or
+    with a coordinate that is not finite) hold no point. A point in two areas gives two rows; with
+    ``how="left"`` a point in none gives one row of nulls. Cells carry a number and edges only, and the
+    other columns of an area are joined behind them. Cells are pinned and measured: they are broadcast
+    below ``max_broadcast_edges``, otherwise both sides are shuffled by cell with the crowded cells salted.
+    There is one join per grid in use, so few for areas of like extent.
     """
-    size = cell_size or choose_cell_size(areas)
     names = [c for c in areas.columns if c != "geometry"]
+    numbered = pin(areas.filter(is_valid(F.col("geometry"))).withColumn("_area", F.monotonically_increasing_id()), "areas")
     in_cell = F.aggregate("edges", F.lit(0), lambda acc, edges: acc + F.size(edges))
-    cells, counted = pin_measured(area_cells(areas, size), "area-cells", n_edges=F.sum(in_cell))
-    located = points.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
-    on = ["_cx", "_cy"]
-    if counted["n_edges"] <= max_broadcast_edges:
-        cells = F.broadcast(cells)
+    cells, counted = pin_measured(area_cells(numbered, "_area", cell_size), "area-cells", n_edges=F.sum(in_cell))
+    levels = sorted(r[0] for r in cells.select("_level").distinct().collect())  # powers of STEP
+    broadcast = counted["n_edges"] <= max_broadcast_edges
+
+    def on_grid(level: int, how: str, left: DataFrame) -> DataFrame:
+        size = F.lit(cell_size or float(STEP) ** level)
+        located = left.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
+        grid, on = cells.filter(F.col("_level") == level).drop("_level"), ["_cx", "_cy"]
+        if broadcast:
+            grid = F.broadcast(grid)
+        else:
+            located, grid = with_salts(located, grid, on)
+            on = [*on, "_salt"]
+        p, c = located.alias("p"), grid.alias("c")
+        condition = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in on])
+        inside = condition & strictly_within(F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c.edges"))
+        kept = [F.col(f"p.{name}") for name in left.columns]
+        return p.join(c, inside, how).select(*kept, *([] if how == "left_anti" else ["c._area"]))
+
+    if how == "left" and len(levels) == 1:
+        joined = on_grid(levels[0], "left", points)
     else:
-        located, cells = with_salts(located, cells, on)
-        on = on + ["_salt"]
-    p, c = located.alias("p"), cells.alias("c")
-    same_cell = [F.col(f"p.{k}") == F.col(f"c.{k}") for k in on]
-    condition = same_cell[0]
-    for part in same_cell[1:]:
-        condition = condition & part
-    condition = condition & strictly_within(F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c.edges"))
-    return p.join(c, condition, how).select(
-        *[F.col(f"p.{name}") for name in points.columns], *[F.col(f"c.{name}") for name in names]
+        parts = [on_grid(level, "inner", points) for level in levels]
+        if how == "left" or not levels:
+            rest = points if how == "left" else points.limit(0)
+            for level in levels:
+                rest = on_grid(level, "left_anti", rest)
+            parts.append(rest.withColumn("_area", F.lit(None).cast("long")))
+        joined = reduce(DataFrame.unionAll, parts)
+    described = numbered.select("_area", *[F.col(name).alias(f"_of_{i}") for i, name in enumerate(names)])
+    return joined.join(described, "_area", how).select(
+        *[joined[name] for name in points.columns], *[F.col(f"_of_{i}").alias(name) for i, name in enumerate(names)]
     )
 
 

@@ -18,8 +18,10 @@ def _declared(text: DataFrame, schema: str) -> DataFrame:
     def parsed(field: T.StructField):
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.IntegerType, T.LongType)):
-            # Whole numbers may have been written as 3.0.
-            return F.coalesce(column.try_cast(field.dataType), column.try_cast("double").try_cast(field.dataType))
+            # Whole numbers may have been written as 3.0; 3.7 is no whole number.
+            number = column.try_cast("double")
+            whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
+            return F.coalesce(column.try_cast(field.dataType), whole)
         return column.try_cast(field.dataType)
 
     return text.select(*[parsed(f).alias(f.name) for f in T.StructType.fromDDL(schema).fields])
@@ -28,9 +30,11 @@ def _declared(text: DataFrame, schema: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Delimited files with a header line; one line per row, so large files are split.
 
-    Columns are taken by their header names, in any order and among any others.
+    Columns are taken by their header names, in any order and among any others. All files of one call
+    must have the same header; a file with another one raises an error. Quoted fields must not hold line
+    breaks: use ``read_multiline_csv`` for those.
     """
-    return _declared(spark.read.options(**_CSV).csv(path), schema)
+    return _declared(spark.read.options(**_CSV, enforceSchema="false").csv(path), schema)
 
 
 def read_multiline_csv(
@@ -41,7 +45,7 @@ def read_multiline_csv(
     Such a file is read by one task. ``partitions`` spreads its rows afterwards; leave it out when an
     aggregation follows, which shuffles anyway.
     """
-    df = _declared(spark.read.options(**_CSV, multiLine="true").csv(path), schema)
+    df = _declared(spark.read.options(**_CSV, multiLine="true", enforceSchema="false").csv(path), schema)
     return df.repartition(partitions) if partitions else df
 
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwellrank.functions.geometry import GEOMETRY_TYPE, area_km2, is_valid, polygon_edges, strictly_within, to_wkt
-from dwellrank.operators.spatial import area_cells, choose_cell_size, count_unmatched, within_join
+from dwellrank.operators.skew import with_salts
+from dwellrank.operators.spatial import area_cells, count_unmatched, within_join
 from dwellrank.plans.events import area_event_counts, events_by_category, events_scores
 from dwellrank.plans.geometry import area_sizes, stop_lookup
 from tests.conftest import rows
@@ -107,10 +108,41 @@ def test_two_features_of_one_area_count_twice(spark):
     assert within_join(located(spark, [(1, 1)]), twice, "inner").count() == 2
 
 
-def test_cell_size_respects_the_cell_limit(spark, areas):
-    size = choose_cell_size(areas, max_cells=50)
-    assert area_cells(areas, size).count() <= 50 * 3 + areas.count()
-    assert choose_cell_size(areas.limit(0)) == 1.0
+def squares(spark, *sides):
+    shapes = [(f"s{i}", [[ring((0.1, 0.1), (0.1 + s, 0.1), (0.1 + s, 0.1 + s), (0.1, 0.1 + s))]]) for i, s in enumerate(sides)]
+    return spark.createDataFrame(shapes, f"neighbourhood string, geometry {GEOMETRY_TYPE}")
+
+
+def test_cells_of_an_area_do_not_depend_on_the_others(spark):
+    sides = [1e-9, 0.001, 0.7, 1.0, 3.9, 4.0, 100.0, 1e6]
+    counts = {r.neighbourhood: r["count"] for r in area_cells(squares(spark, *sides), "neighbourhood").groupBy("neighbourhood").count().collect()}
+    assert set(counts) == {f"s{i}" for i in range(len(sides))} and max(counts.values()) <= 25
+    assert area_cells(squares(spark, 1.0).limit(0), "neighbourhood").count() == 0
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_areas_on_several_grids(spark, limit, how):
+    areas = squares(spark, 0.5, 5.0, 500.0)
+    points = located(spark, [(0.2, 0.2), (3, 3), (300, 300), (900, 900)])
+    found = within_join(points, areas, how, max_broadcast_edges=limit).select("id", "neighbourhood")
+    inside = [(0, "s0"), (0, "s1"), (0, "s2"), (1, "s1"), (1, "s2"), (2, "s2")]
+    assert rows(found) == sorted(inside + [(3, None)] * (how == "left"), key=repr)
+    assert rows(within_join(points, areas.limit(0), how).select("id")) == [(i,) for i in range(4)] * (how == "left")
+
+
+def test_bad_geometry_spoils_no_other(spark):
+    bad = [("inf", [[ring((0, 0), (float("inf"), 0), (1, 1))]]), ("nan", [[ring((0, 0), (float("nan"), 0), (1, 1))]]), ("none", None), ("open", [[[[0.0, 0.0], [1.0, 1.0]]]])]
+    areas = squares(spark, 1.0).unionByName(spark.createDataFrame(bad, f"neighbourhood string, geometry {GEOMETRY_TYPE}"))
+    assert rows(within_join(located(spark, [(0.5, 0.5), (7, 7)]), areas, "left").select("id", "neighbourhood")) == [(0, "s0"), (1, None)]
+
+
+def test_equal_rows_get_different_salts(spark):
+    left = spark.range(4000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    right = spark.createDataFrame([(1, "x")], "k int, w string")
+    salted, repeated = with_salts(left, right, ["k"])
+    assert salted.select("_salt").distinct().count() == repeated.count() > 1
+    assert salted.join(repeated, ["k", "_salt"]).count() == 4000
 
 
 def test_events_are_counted_and_scored(spark, areas):
