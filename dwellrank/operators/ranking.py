@@ -1,9 +1,8 @@
 """Global ranks without passing all rows through one task.
 
 Ranks depend only on how many rows lie below a value. Rows are first counted per distinct value,
-which collapses any number of ties before the shuffle. While the distinct values are few, one window
-per measure adds them up; beyond that they are range-partitioned, and a running count inside each
-range plus the totals of the ranges before it gives the position. Row numbers range-partition the
+which collapses any number of ties before the shuffle. The distinct values are range-partitioned, and a
+running count inside each range plus the totals of the ranges before it gives the position. Row numbers range-partition the
 rows themselves on a total order, so ties never share one task.
 """
 
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from dwellrank.operators.skew import hot_slices, join_splitting_hot_keys
 from dwellrank.session import pin, pin_measured
 
-MAX_LOCAL_VALUES = 1_000_000  # rows of two numbers that one window may add up, about 16 MB
 MAX_BROADCAST_VALUES = 500_000  # rows of four numbers, about 32 MB before hashing
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in these bits
@@ -26,7 +24,8 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its parti
 class Positions(NamedTuple):
     """Per (measure, value): ``n_below``, ``n_equal``, ``n_total``; with what was counted of it.
 
-    ``measure`` is the place of the column in ``columns``.
+    ``measure`` is the place of the column in ``columns``. Values have the columns' own type if that is
+    one and the same, so that large integers stay apart; otherwise they are doubles.
     """
 
     table: DataFrame
@@ -35,9 +34,10 @@ class Positions(NamedTuple):
     has_hot_value: bool
 
 
-def value_positions(df: DataFrame, columns: list[str], max_local: int = MAX_LOCAL_VALUES) -> Positions:
+def value_positions(df: DataFrame, columns: list[str]) -> Positions:
     """Where each distinct value of each column stands among all rows. Nulls count as the lowest."""
-    values = [F.col(c).cast("double") for c in columns]
+    kinds = {df.schema[c].dataType for c in columns}
+    values = [F.col(c) if len(kinds) == 1 else F.col(c).cast("double") for c in columns]
     if len(columns) == 1:
         keys = ["value"]  # sorting by the number alone is several times faster
         long = df.select(values[0].alias("value"))
@@ -53,8 +53,7 @@ def value_positions(df: DataFrame, columns: list[str], max_local: int = MAX_LOCA
         n_rows=F.sum("n_equal"),
     )
     n_total = counted["n_rows"] // len(columns)
-    below = _below_in_one_window if counted["n_values"] <= max_local else _below_in_ranges
-    table = below(counts, keys[:-1]).select(
+    table = _below_in_ranges(counts, keys[:-1]).select(
         F.col("measure") if "measure" in keys else F.lit(0).alias("measure"),
         "value",
         "n_below",
@@ -71,10 +70,6 @@ def _running(column: str, by: list[str], order: str) -> Column:
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
-def _below_in_one_window(counts: DataFrame, by: list[str]) -> DataFrame:
-    return counts.withColumn("n_below", _running("n_equal", by, "value"))
-
-
 def _below_in_ranges(counts: DataFrame, by: list[str]) -> DataFrame:
     ranged = pin(
         counts.repartitionByRange(*by, "value").withColumn("slice", F.spark_partition_id()), "value-ranges"
@@ -97,13 +92,13 @@ def attach_positions(
 ) -> DataFrame:
     """Add ``n_below``, ``n_equal`` and ``n_total`` of ``column`` to every row of ``df``.
 
-    The positions are broadcast while their counted number allows it. Beyond that the join is shuffled,
-    with hot values split off if there are any; ``df`` is then read twice.
+    Positions are fixed-size rows, broadcast while their counted number allows it. Beyond that the join is
+    shuffled, with hot values split off if there are any; ``df`` is then read twice.
     """
     table = positions.table.filter(F.col("measure") == positions.columns.index(column)).select(
         F.col("value").alias("_value"), "n_below", "n_equal", "n_total"
     )
-    keyed = df.withColumn("_value", F.col(column).cast("double"))
+    keyed = df.withColumn("_value", F.col(column).cast(positions.table.schema["value"].dataType))
     if positions.n_values <= max_broadcast or not positions.has_hot_value:
         if positions.n_values <= max_broadcast:
             table = F.broadcast(table)

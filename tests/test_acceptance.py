@@ -25,9 +25,8 @@ def test_query_equals_sql(spark, connection, name):
     "name", ["mart_stay_score", "win_rank_hot_values", "join_lookup_broadcast", "agg_size_by_category", "anti_unmatched"]
 )
 def test_large_data_paths_equal_sql(spark, connection, monkeypatch, name):
-    """With every size limit at zero nothing is broadcast and no window adds up a whole column."""
+    """With every size limit at zero nothing is broadcast."""
     monkeypatch.setattr(ranking.attach_positions, "__defaults__", (0,))
-    monkeypatch.setattr(ranking.value_positions, "__defaults__", (0,))
     monkeypatch.setattr(skew.join_lookup, "__defaults__", (0,))
     monkeypatch.setattr(spatial.within_join, "__defaults__", (*spatial.within_join.__defaults__[:-1], 0))
     monkeypatch.setattr(mart, "MAX_BROADCAST_VALUES", 0)

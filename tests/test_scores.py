@@ -97,21 +97,28 @@ def test_rank_on_many_range_partitions(spark):
     try:
         df = pin(spark.range(30_000).select(F.col("id"), (F.xxhash64("id") % 5000).cast("double").alias("v")))
         expected = df.withColumn("r", F.rank().over(Window.orderBy("v")).cast("long"))
-        for max_local in (0, 1_000_000):
-            positions = ranking.value_positions(df, ["v"], max_local)
-            assert positions.n_values == df.select("v").distinct().count()
-            got = ranking.with_rank(df, "v", "r", descending=False, positions=positions)
-            assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
+        positions = ranking.value_positions(df, ["v"])
+        assert positions.n_values == df.select("v").distinct().count()
+        got = ranking.with_rank(df, "v", "r", descending=False, positions=positions)
+        assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
 def test_positions_of_several_measures(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (2.0, None)], "a double, b double")
-    for max_local in (0, 1_000_000):
-        table = ranking.value_positions(df, ["a", "b"], max_local).table
-        assert rows(table.filter("measure = 0")) == [(0, 1.0, 0, 1, 3), (0, 2.0, 1, 2, 3)]
-        assert rows(table.filter("measure = 1")) == [(1, 5.0, 1, 2, 3), (1, None, 0, 1, 3)]
+    table = ranking.value_positions(df, ["a", "b"]).table
+    assert rows(table.filter("measure = 0")) == [(0, 1.0, 0, 1, 3), (0, 2.0, 1, 2, 3)]
+    assert rows(table.filter("measure = 1")) == [(1, 5.0, 1, 2, 3), (1, None, 0, 1, 3)]
+
+
+def test_neighbouring_large_integers_get_their_own_ranks(spark):
+    df = spark.createDataFrame([(i, 2**53 + i) for i in range(4)], "k int, v long")
+    assert rows(ranking.with_rank(df, "v", "r", descending=False)) == [(i, 2**53 + i, i + 1) for i in range(4)]
+    mixed = spark.createDataFrame([(1, 2.5), (2, 0.5)], "a long, b double")
+    assert rows(ranking.value_positions(mixed, ["a", "b"]).table.select("measure", "value", "n_below")) == [
+        (0, 1.0, 0), (0, 2.0, 1), (1, 0.5, 0), (1, 2.5, 1),
+    ]
 
 
 def test_row_number_of_no_rows(spark):
