@@ -47,9 +47,9 @@ def _mean(total: str, count: str) -> Column:
     return F.round(F.try_divide(F.col(total), F.col(count)), 1)
 
 
-def city_counters(messages: DataFrame) -> DataFrame:
-    """Counters per feed; a feed without any usable delay still gives a row."""
-    return entity_updates(messages).groupBy("feed_timestamp").agg(
+def city_counters(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Counters per feed (and ``keep``); a feed without any usable delay still gives a row."""
+    return entity_updates(messages, keep).groupBy(*keep, "feed_timestamp").agg(
         F.count_if("first_of_entity").alias("active_trips"), *_delay_counters()
     )
 

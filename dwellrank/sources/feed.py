@@ -25,18 +25,21 @@ def stream_feed(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.json(path)
 
 
-def entity_updates(messages: DataFrame) -> DataFrame:
+def entity_updates(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per stop update, and one for each entity or message without any.
 
-    ``first_of_entity`` marks one row per entity, so entities can be counted in the same pass.
+    ``first_of_entity`` marks one row per entity, so entities can be counted in the same pass. ``keep``
+    names further columns of the messages.
     """
     entities = messages.select(
+        *keep,
         F.col("header.timestamp").alias("feed_timestamp"),
         F.explode_outer("entity").alias("entity"),
     )
     return entities.select(
-        "feed_timestamp", "entity", F.posexplode_outer("entity.trip_update.stop_time_update").alias("no", "update")
+        *keep, "feed_timestamp", "entity", F.posexplode_outer("entity.trip_update.stop_time_update").alias("no", "update")
     ).select(
+        *keep,
         "feed_timestamp",
         (F.col("entity").isNotNull() & (F.coalesce("no", F.lit(0)) == 0)).alias("first_of_entity"),
         F.col("entity.trip_update").isNotNull().alias("has_trip_update"),
@@ -47,13 +50,13 @@ def entity_updates(messages: DataFrame) -> DataFrame:
     )
 
 
-def stop_updates(messages: DataFrame) -> DataFrame:
+def stop_updates(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Stop updates that carry both a stop id and an arrival delay."""
     return (
-        messages.select(F.col("header.timestamp").alias("feed_timestamp"), F.explode("entity").alias("entity"))
+        messages.select(*keep, F.col("header.timestamp").alias("feed_timestamp"), F.explode("entity").alias("entity"))
         .filter(F.col("entity.trip_update").isNotNull())
-        .select("feed_timestamp", F.explode("entity.trip_update.stop_time_update").alias("update"))
-        .select("feed_timestamp", F.col("update.stop_id").alias("stop_id"), F.col("update.arrival.delay").alias("delay"))
+        .select(*keep, "feed_timestamp", F.explode("entity.trip_update.stop_time_update").alias("update"))
+        .select(*keep, "feed_timestamp", F.col("update.stop_id").alias("stop_id"), F.col("update.arrival.delay").alias("delay"))
         .filter(F.col("stop_id").isNotNull() & F.col("delay").isNotNull())
     )
 

@@ -10,6 +10,9 @@ from dwellrank.plans.punctuality import area_counters, area_snapshots, city_coun
 from dwellrank.sources.feed import stop_updates, stream_feed
 
 
+SOURCE = ("source",)  # the landed file that a counter comes from
+
+
 def _write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     """Write one micro-batch as its own partition, replacing it when the batch is replayed."""
     (
@@ -32,26 +35,21 @@ def run_counters(
 ) -> None:
     """Process every landed message not yet seen, then stop.
 
-    Each micro-batch appends its counters, per feed to ``city_path`` and per feed and area to
-    ``area_path``. Counters are sums, so a feed may arrive in several files and batches, and a batch
-    run again after a failure replaces its own rows.
+    Each micro-batch adds its counters, per landed file and feed to ``city_path`` and per file, feed and
+    area to ``area_path``. Counters are sums, so a feed may arrive in several files and batches. A batch run
+    again replaces its own rows, and since every row names its file, files that are counted again in other
+    batches (after the stream's state was lost) count once. ``max_files`` bounds a batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if area_path is None:
-            _write_batch(city_counters(batch), batch_id, city_path)
-            return
-        batch.persist()
-        try:
-            _write_batch(city_counters(batch), batch_id, city_path)
-            areas = area_counters(stop_updates(batch), stations)
-            if not batch.isEmpty():
-                _write_batch(areas, batch_id, area_path)
-        finally:
-            batch.unpersist()
+        _write_batch(city_counters(batch, SOURCE), batch_id, city_path)
+        if area_path is not None:
+            areas = area_counters(stop_updates(batch, SOURCE), stations, (*SOURCE, "feed_timestamp"))
+            _write_batch(areas, batch_id, area_path)
 
     query = (
         stream_feed(spark, feed_path, max_files)
+        .select("*", F.col("_metadata.file_path").alias("source"))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -61,22 +59,24 @@ def run_counters(
 
 
 _CITY = (
-    "feed_timestamp bigint, active_trips bigint, updates bigint, on_time bigint, late bigint, "
+    "source string, feed_timestamp bigint, active_trips bigint, updates bigint, on_time bigint, late bigint, "
     "early bigint, delay_sum bigint, batch_id bigint"
 )
-_AREA = "feed_timestamp bigint, neighbourhood string, updates bigint, on_time bigint, delay_sum bigint, batch_id bigint"
+_AREA = "source string, feed_timestamp bigint, neighbourhood string, updates bigint, on_time bigint, delay_sum bigint, batch_id bigint"
 
 
 def read_city_snapshots(spark: SparkSession, city_path: str, snapshot_time: Column | None = None) -> DataFrame:
-    """The city series: one row per feed from the counters of all batches."""
-    return city_snapshots(spark.read.schema(_CITY).parquet(city_path).drop("batch_id"), snapshot_time)
+    """The city series: one row per feed from the counters of all files, each file once."""
+    counters = spark.read.schema(_CITY).parquet(city_path).dropDuplicates(["source", "feed_timestamp"])
+    return city_snapshots(counters.drop("batch_id", "source"), snapshot_time)
 
 
 def read_area_snapshots(
     spark: SparkSession, area_path: str, snapshot_time: Column | None = None, keys: tuple[str, ...] = ("feed_timestamp",)
 ) -> DataFrame:
     """The area series, per feed or (with no keys) over all feeds."""
-    counters = spark.read.schema(_AREA).parquet(area_path).drop("batch_id")
+    counters = spark.read.schema(_AREA).parquet(area_path)
+    counters = counters.dropDuplicates(["source", "feed_timestamp", "neighbourhood"]).drop("batch_id", "source")
     if not keys:
         counters = counters.drop("feed_timestamp")
     return area_snapshots(counters, snapshot_time, keys)

@@ -136,6 +136,17 @@ def test_replayed_stream_replaces_its_rows(spark, tmp_path):
     assert city_rows(read_city_snapshots(spark, city)) == [CITY[0], CITY[2]]
 
 
+def test_lost_state_and_other_batches_count_files_once(spark, tmp_path, lookup):
+    feed, city, area = tmp_path / "feed", str(tmp_path / "city"), str(tmp_path / "area")
+    stations = station_areas(lookup)
+    land(feed, *[message(100, entity) for entity in ONE["entity"]], EMPTY, TWO)
+    run_counters(spark, str(feed), str(tmp_path / "state-1"), city, area, stations, max_files=2)
+    before = city_rows(read_city_snapshots(spark, city)), rows(read_area_snapshots(spark, area).drop("snapshot_time"))
+    run_counters(spark, str(feed), str(tmp_path / "state-2"), city, area, stations, max_files=3)
+    after = city_rows(read_city_snapshots(spark, city)), rows(read_area_snapshots(spark, area).drop("snapshot_time"))
+    assert before == after and before[0] == CITY
+
+
 def test_windows_close_and_late_rows_drop(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "at timestamp, delay int"
