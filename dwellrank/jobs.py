@@ -19,8 +19,15 @@ from dwellrank.plans.connectivity import connectivity_scores, departures_by_hour
 from dwellrank.plans.events import events_by_category, events_scores
 from dwellrank.plans.geometry import area_geometry, area_sizes, stop_lookup
 from dwellrank.plans.listings import clean_listings, room_type_breakdown, value_scores
-from dwellrank.plans.mart import mart_checks, stay_score_mart
-from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots
+from dwellrank.plans.mart import (
+    area_type_counts,
+    headline_figures,
+    mart_checks,
+    price_map,
+    ranked_detail,
+    stay_score_mart,
+)
+from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, feed_profile
 from dwellrank.session import build_session, pin
 from dwellrank.sources import sinks
 from dwellrank.sources.documents import (
@@ -30,15 +37,15 @@ from dwellrank.sources.documents import (
     read_event_search,
     read_weather,
 )
-from dwellrank.sources.feed import read_feed, stop_updates
+from dwellrank.sources.feed import read_feed, sample_updates, stop_updates
 from dwellrank.sources.files import read_csv, read_geojson, read_multiline_csv
-from dwellrank.streaming.punctuality import run_counters
+from dwellrank.streaming.punctuality import read_area_snapshots, read_city_snapshots, run_counters
 
 Paths = dict[str, str]
 
 
 def clean_listings_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    raw = read_multiline_csv(spark, paths["listings"], schemas.RAW_LISTINGS)
+    raw = read_multiline_csv(spark, paths["listings"], schemas.RAW_LISTINGS, args.partitions)
     sinks.replace_csv(clean_listings(raw), output)
 
 
@@ -75,29 +82,35 @@ def raw_events_job(spark: SparkSession, paths: Paths, output: str, args) -> None
     sinks.replace_csv(flatten_events(read_event_search(spark, paths["search"])), output)
 
 
-def _events_and_areas(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
-    return read_csv(spark, paths["events"], schemas.EVENTS), read_geojson(spark, paths["geojson"])
+def _areas(spark: SparkSession, paths: Paths, args) -> DataFrame:
+    """Areas of GeoJSON documents; with ``--geojson-lines`` one document per line, in files that are split."""
+    return read_geojson(spark, paths["geojson"], multiline=not args.geojson_lines)
+
+
+def _events_and_areas(spark: SparkSession, paths: Paths, args) -> tuple[DataFrame, DataFrame]:
+    # Names may hold line breaks.
+    return read_multiline_csv(spark, paths["events"], schemas.EVENTS), _areas(spark, paths, args)
 
 
 def events_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(events_scores(*_events_and_areas(spark, paths)), output)
+    sinks.replace(events_scores(*_events_and_areas(spark, paths, args)), output)
 
 
 def categories_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(events_by_category(*_events_and_areas(spark, paths)), output)
+    sinks.replace(events_by_category(*_events_and_areas(spark, paths, args)), output)
 
 
 def geometry_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(area_geometry(read_geojson(spark, paths["geojson"])), output)
+    sinks.replace(area_geometry(_areas(spark, paths, args)), output)
 
 
 def area_sizes_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace_csv(area_sizes(read_geojson(spark, paths["geojson"])), output)
+    sinks.replace_csv(area_sizes(_areas(spark, paths, args)), output)
 
 
 def stop_lookup_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     stops = read_csv(spark, paths["stops"], schemas.STOPS)
-    sinks.replace_csv(stop_lookup(stops, read_geojson(spark, paths["geojson"])), output)
+    sinks.replace_csv(stop_lookup(stops, _areas(spark, paths, args)), output)
 
 
 def punctuality_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -114,7 +127,45 @@ def punctuality_stream_job(spark: SparkSession, paths: Paths, output: str, args)
     """Counters of all newly landed messages under ``output``: ``city``, ``area`` and the stream's state."""
     lookup = read_csv(spark, paths["lookup"], schemas.STOP_LOOKUP)
     stations = pin(station_areas(lookup), "stations")
-    run_counters(spark, paths["feed"], f"{output}/state", f"{output}/city", f"{output}/area", stations)
+    run_counters(spark, paths["feed"], f"{output}/state", f"{output}/city", f"{output}/area", stations, args.max_files)
+
+
+def punctuality_series_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """The published city series from the counters of a stream, replacing the one before."""
+    series = read_city_snapshots(spark, f"{paths['stream']}/city")
+    sinks.replace(sinks.conform(series, schemas.PUNCTUALITY), output)
+
+
+def area_series_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """Punctuality per feed and area from the counters of a stream, replacing what was there."""
+    sinks.replace(read_area_snapshots(spark, f"{paths['stream']}/area"), output)
+
+
+def feed_profile_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    sinks.replace(feed_profile(read_feed(spark, paths["feed"])), output)
+
+
+def feed_sample_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    sinks.replace(sample_updates(read_feed(spark, paths["feed"])), output)
+
+
+def headline_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    counters = city_counters(read_feed(spark, paths["feed"]))
+    events = read_multiline_csv(spark, paths["events"], schemas.EVENTS)
+    sinks.replace(headline_figures(spark, _clean(spark, paths), counters, events, F.current_date().cast("string")), output)
+
+
+def area_types_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    sinks.replace(area_type_counts(spark.read.parquet(paths["mart"])), output)
+
+
+def ranked_detail_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    sinks.replace(ranked_detail(spark.read.parquet(paths["mart"]), spark.read.parquet(paths["value"])), output)
+
+
+def price_map_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """``geometry`` is the output of area-geometry."""
+    sinks.replace(price_map(spark.read.parquet(paths["value"]), spark.read.parquet(paths["geometry"])), output)
 
 
 def conditions_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -124,7 +175,11 @@ def conditions_job(spark: SparkSession, paths: Paths, output: str, args) -> None
 
 def mart_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     scores = [spark.read.parquet(paths[name]) for name in ("value", "connectivity", "events")]
-    sinks.replace(stay_score_mart(*scores, weights=tuple(args.weights)), output)
+    mart = stay_score_mart(*scores, weights=tuple(args.weights))
+    counted = sinks.replace_with_metrics(mart, output, {"areas": F.count(F.lit(1)), "best": F.max("stay_score")})
+    print(f"mart: {counted['areas']} areas, best score {counted['best']}")
+    if args.table:
+        sinks.replace_table(spark.read.parquet(output), args.table)
     failures = mart_checks(spark.read.parquet(output)).filter(F.col("failures") > 0).collect()
     if failures:
         raise SystemExit(f"mart checks failed: {failures}")
@@ -145,8 +200,16 @@ JOBS: dict[str, Callable] = {
     "punctuality": punctuality_job,
     "area-punctuality": area_punctuality_job,
     "punctuality-stream": punctuality_stream_job,
+    "punctuality-series": punctuality_series_job,
+    "area-series": area_series_job,
+    "feed-profile": feed_profile_job,
+    "feed-sample": feed_sample_job,
     "conditions": conditions_job,
     "mart": mart_job,
+    "headline-figures": headline_job,
+    "area-types": area_types_job,
+    "ranked-detail": ranked_detail_job,
+    "price-map": price_map_job,
 }
 
 
@@ -157,6 +220,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--output", required=True)
     parser.add_argument("--min-listings", type=int, default=MIN_LISTINGS)
     parser.add_argument("--log-density", action="store_true")
+    parser.add_argument("--geojson-lines", action="store_true", help="one GeoJSON document per line")
+    parser.add_argument("--partitions", type=int, help="partitions after reading files one task each")
+    parser.add_argument("--max-files", type=int, help="landed files of a micro-batch, at most")
+    parser.add_argument("--table", help="catalog table to replace with the mart as well")
     parser.add_argument("--weights", type=float, nargs=3, default=(0.5, 0.5, 0.0), metavar=("VALUE", "TRANSIT", "EVENTS"))
     return parser.parse_args(argv)
 

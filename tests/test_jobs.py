@@ -6,6 +6,8 @@ import json
 import pytest
 
 from dwellrank import jobs
+from dwellrank.sources.files import read_csv, read_multiline_csv
+from dwellrank.sources.sinks import drop_table, replace_csv
 from tests.conftest import rows
 
 HEADER = (
@@ -96,9 +98,21 @@ def test_from_files_to_the_mart(spark, city):
     geometry = run(spark, "area-geometry", city / "geometry", geojson=geojson)
     assert spark.read.parquet(geometry).filter("geometry is not null").count() == 3
 
-    mart = run(spark, "mart", city / "mart", value=value, connectivity=connectivity, events=events)
+    scores = {"value": value, "connectivity": connectivity, "events": events}
+    mart = run(spark, "mart", city / "mart", "--table", "stay_score_of_jobs", **scores)
+    assert spark.table("stay_score_of_jobs").count() == 2
+    drop_table(spark, "stay_score_of_jobs")
+    assert not spark.catalog.tableExists("stay_score_of_jobs")
     found = spark.read.parquet(mart).select("neighbourhood", "stay_score", "overall_rank", "events_score")
     assert rows(found) == [("A", 100.0, 1, 100.0), ("B", 40.0, 2, 0.0)]
+    types = run(spark, "area-types", city / "types", mart=mart)
+    assert spark.read.parquet(types).agg({"areas": "sum"}).first()[0] == 2
+    detail = run(spark, "ranked-detail", city / "detail", mart=mart, value=value)
+    assert rows(spark.read.parquet(detail).select("neighbourhood", "overall_rank", "median_price")) == [("A", 1, 50.0), ("B", 2, 100.0)]
+    prices = run(spark, "price-map", city / "prices", value=value, geometry=geometry)
+    assert spark.read.parquet(prices).filter("geometry_wkt like '%POLYGON%'").count() == 3
+    figures = run(spark, "headline-figures", city / "figures", listings=clean, events=raw, feed=city / "feed")
+    assert tuple(spark.read.parquet(figures).first())[:3] == (90, 150.0, 100.0)
 
 
 def test_series_jobs_append(spark, city):
@@ -120,6 +134,26 @@ def test_stream_job_reads_each_file_once(spark, city):
         out = run(spark, "punctuality-stream", city / "stream", feed=city / "feed", lookup=lookup)
     assert spark.read.parquet(f"{out}/city").count() == 1
     assert spark.read.parquet(f"{out}/area").count() == 1
+    series = run(spark, "punctuality-series", city / "series", stream=out)
+    assert [r.pct_on_time for r in spark.read.parquet(series).collect()] == [100.0]
+    areas = run(spark, "area-series", city / "area-series", stream=out)
+    assert [r.neighbourhood for r in spark.read.parquet(areas).collect()] == ["A"]
+    assert spark.read.parquet(run(spark, "feed-profile", city / "profile", feed=city / "feed")).first().entities == 1
+    assert spark.read.parquet(run(spark, "feed-sample", city / "sample", feed=city / "feed")).count() == 1
+
+
+def test_event_names_with_line_breaks_survive_the_hand_over(spark, city):
+    events = [("Fair\nby the river", "2030-01-01", 1.0)]
+    out = str(city / "broken-lines")
+    replace_csv(spark.createDataFrame(events, "name string, date string, price double"), out)
+    assert rows(read_multiline_csv(spark, out, "name string, date string, price double")) == events
+
+
+def test_reordered_headers_raise(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), "x int, y int").collect()
 
 
 def test_mart_job_fails_on_broken_contract(spark, tmp_path):
