@@ -37,16 +37,12 @@ def area_type(value_percentile: Column, connectivity_percentile: Column) -> Colu
 
 
 def combined_scores(value: DataFrame, connectivity: DataFrame, events: DataFrame) -> DataFrame:
-    """The three scores side by side: areas without connectivity drop out, no events score 0."""
+    """The three scores side by side, for areas with value and connectivity; no events score 0."""
     v = value.select("neighbourhood", F.col("value_score").cast("double").alias("value_score"))
     c = connectivity.select("neighbourhood", F.col("connectivity_score").cast("double").alias("connectivity_score"))
     e = events.select("neighbourhood", F.col("events_score").cast("double").alias("events_score"))
-    return (
-        v.join(c, "neighbourhood", "left")
-        .join(e, "neighbourhood", "left")
-        .filter(F.col("connectivity_score").isNotNull())
-        .withColumn("events_score", F.coalesce("events_score", F.lit(0.0)))
-    )
+    both = v.join(c.filter(F.col("connectivity_score").isNotNull()), "neighbourhood")
+    return both.join(e, "neighbourhood", "left").withColumn("events_score", F.coalesce("events_score", F.lit(0.0)))
 
 
 def scored_areas(
