@@ -323,3 +323,22 @@ def staged_views(t: Inputs) -> DataFrame:
     return t.spark.sql(
         "select neighbourhood, value_score, connectivity_score from staged_value join staged_connectivity using (neighbourhood)"
     )
+
+
+@query("""
+    select region, part, size, cast(sum(size) over (partition by region) as bigint) as total
+    from (select case when c_custkey % 5 > 0 then c_nationkey end as region, c_mktsegment as part, count(*) as size
+          from customer group by all)""")
+def group_total_null_key(t: Inputs) -> DataFrame:
+    """Totals of groups of which one has no key."""
+    region = F.when(F.col("c_custkey") % 5 > 0, F.col("c_nationkey")).alias("region")
+    sizes = t.table("customer").groupBy(region, F.col("c_mktsegment").alias("part")).agg(F.count("*").alias("size"))
+    return attach_group_total(sizes, "region", "size", "total")
+
+
+@query("""
+    select event_id, rank() over (order by 9007199254740992 + event_id // 2) as place from events""")
+def win_rank_big_integers(t: Inputs) -> DataFrame:
+    """Ranks of integers that are one and the same as doubles."""
+    big = F.lit(2**53) + F.floor(F.col("event_id") / 2)
+    return with_rank(t.table("events").select("event_id", big.alias("v")), "v", "place", descending=False).drop("v")

@@ -82,6 +82,62 @@ def spatial_within_shuffled(t: Inputs) -> DataFrame:
     return within_join(t.points, t.districts, "inner", max_broadcast_edges=0).select("vec_id", "neighbourhood")
 
 
+_PLACES = "(select event_id, 8 + (user_id % 97) * 1e-1 as x, 45 + (event_id % 89) * 1e-1 as y from events)"
+_SQUARES = """(select c_custkey, c_custkey % 311 as area, 8 + (c_custkey % 101) * 9e-2 as x0, 45 + (c_custkey // 7 % 103) * 8e-2 as y0,
+                      case c_custkey % 3 when 0 then 3e-2 when 1 then 4e-1 else 3e0 end as side from customer)"""
+_INSIDE = f"""from {_PLACES} p, {_SQUARES} s where x > x0 and x < x0 + side and y > y0 and y < y0 + side"""
+
+
+def _squares(t: Inputs) -> DataFrame:
+    """A square per customer, of three very different sizes."""
+    x0 = 8 + (F.col("c_custkey") % 101) * 9e-2
+    y0 = 45 + (F.floor(F.col("c_custkey") / 7) % 103) * 8e-2
+    side = F.when(F.col("c_custkey") % 3 == 0, 3e-2).when(F.col("c_custkey") % 3 == 1, 4e-1).otherwise(3e0)
+    corners = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")]
+    ring = F.array(*[F.array(F.col(x), F.col(y)) for x, y in corners])
+    boxed = t.table("customer").select("c_custkey", x0.alias("x0"), y0.alias("y0"), side.alias("side"))
+    return boxed.withColumns({"x1": F.col("x0") + F.col("side"), "y1": F.col("y0") + F.col("side")}).select(
+        (F.col("c_custkey") % 311).alias("area"), F.array(F.array(ring)).alias("geometry")
+    )
+
+
+def _places(t: Inputs) -> DataFrame:
+    return t.table("events").select(
+        "event_id",
+        (8 + (F.col("user_id") % 97) * 1e-1).alias("longitude"),
+        (45 + (F.col("event_id") % 89) * 1e-1).alias("latitude"),
+    )
+
+
+@query(f"select area, count(*) as points {_INSIDE} group by area")
+def spatial_within_many_areas(t: Inputs) -> DataFrame:
+    """All events in squares of three sizes, one for each customer."""
+    spots = _places(t).groupBy("longitude", "latitude").agg(F.count("*").alias("n"))
+    return within_join(spots, _squares(t), "inner").groupBy("area").agg(F.sum("n").alias("points"))
+
+
+@query(f"select area, count(*) as points {_INSIDE} and area < 40 group by area")
+def spatial_within_bad_polygon(t: Inputs) -> DataFrame:
+    """The same with one area added that reaches to infinity and one that is open."""
+    ring = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in ((0.0, 0.0), (float("inf"), 0.0), (1.0, 1.0), (0.0, 0.0))])
+    bad = t.spark.range(2).select((-F.col("id")).alias("area"), F.array(F.array(F.when(F.col("id") == 0, ring).otherwise(F.slice(ring, 1, 2)))).alias("geometry"))
+    spots = _places(t).groupBy("longitude", "latitude").agg(F.count("*").alias("n"))
+    areas = _squares(t).filter(F.col("area") < 40).unionByName(bad)
+    return within_join(spots, areas, "inner").groupBy("area").agg(F.sum("n").alias("points"))
+
+
+@query(f"""
+    select area, count(*) as points
+    from (select 12 + (event_id % 3) * 1e-2 as x, 49 + (event_id % 3) * 1e-2 as y from events) p, {_SQUARES} s
+    where x > x0 and x < x0 + side and y > y0 and y < y0 + side and area < 5 group by area""")
+def spatial_within_hot_point(t: Inputs) -> DataFrame:
+    """All events on three places, joined row by row on the shuffled path."""
+    third = (F.col("event_id") % 3) * 1e-2
+    spots = t.table("events").select((12 + third).alias("longitude"), (49 + third).alias("latitude"))
+    joined = within_join(spots, _squares(t).filter(F.col("area") < 5), "inner", max_broadcast_edges=0)
+    return joined.groupBy("area").agg(F.count("*").alias("points"))
+
+
 @query("select count(*) as outside from v_points where vec_id not in (select vec_id from v_hits)")
 def anti_unmatched(t: Inputs) -> DataFrame:
     return count_unmatched(t.points, t.districts, "outside")
