@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellrank.llm.common import document_slices, lower_ascii, mixed, span_hashes, text_buffers, word_spans
@@ -38,7 +38,7 @@ PART = int(0.35 * 2**64)  # of all sets, shingles with hashes below are counted:
 ALL = 2**64 - 1  # of sets in hot regions, all are
 BLOOM_BITS = 1 << 25  # at most
 BLOOM_PROBES = 4
-PIVOTS = 4  # document pivots of a region and round
+PIVOTS = 4  # document pivots of a region in the second round, twice as many in each one after
 RADIUS = 0.2
 
 _STEP = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(WIDTH)], np.uint64)
@@ -66,8 +66,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
                 out.append(np.unique(rolled[a : b - WIDTH + 1]))
             elif b > a:
                 # A short text is one shingle, which no run of five words can equal.
-                whole = (words[a:b] * _STEP[: b - a]).sum(dtype=np.uint64) + np.uint64((b - a) * 0x2545F4914F6CDD1D % 2**64)
-                out.append(mixed(np.array([whole])))
+                whole = (words[a:b] * _STEP[: b - a]).sum(keepdims=True) + np.uint64((b - a) * 0x2545F4914F6CDD1D % 2**64)
+                out.append(mixed(whole))
             else:
                 out.append(np.empty(0, np.uint64))
     return out
@@ -75,8 +75,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def set_key(shingles: np.ndarray) -> int:
     """A 64-bit key of a set, as a signed number; equal sets have equal keys."""
-    total = mixed(shingles * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    return int(mixed(np.array([total + np.uint64(len(shingles))]))[0].astype(np.int64))
+    total = mixed(shingles * np.uint64(0x9E3779B97F4A7C15)).sum(keepdims=True)
+    return int(mixed(total + np.uint64(len(shingles)))[0].astype(np.int64))
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows a few at a time: a text's hashes take several times its room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
@@ -112,7 +119,7 @@ def document_nodes(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, node (key of its set; null if empty) and n_shingles of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             sets = shingle_sets(*text_buffers(batch.column("_body")))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -214,7 +221,7 @@ def hot_shingles(docs: DataFrame, text: str, counted: int, only: Bloom | None =
     sets = _set_reader(docs, only)
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             parts = [counted_part(s, counted) for _, s in sets(batch)]
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).astype(np.int64))], ["shingle"])
@@ -230,13 +237,17 @@ def hot_shingles(docs: DataFrame, text: str, counted: int, only: Bloom | None =
 
 
 def region_rows(docs: DataFrame, text: str, bloom: Bloom, counted: int, only: Bloom | None = None) -> DataFrame:
-    """shingle, node, n, leading (in the shorter prefix) and hot, for every region a set belongs to."""
+    """shingle, node, info and hot, for every region a set belongs to.
+
+    ``info`` packs the set's size, the hot part of its prefix, and whether the shingle is in the shorter
+    prefix: size * 2**31 + hot * 2 + leading.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bloom.words)
     sets = _set_reader(docs, only)
 
     def run(batches):
         filter_ = Bloom(shared.value)
-        for batch in batches:
+        for batch in _parts(batches):
             rows = sets(batch)
             if not rows:
                 continue
@@ -246,51 +257,71 @@ def region_rows(docs: DataFrame, text: str, bloom: Bloom, counted: int, only: Bl
             lengths = [len(f[0]) for f in found]
             sizes = np.array([len(s) for _, s in rows])
             leading = np.concatenate([np.arange(k) < index_length(n) for k, n in zip(lengths, sizes.tolist())])
+            info = np.repeat((sizes << 31) + 2 * np.array([int(f[1].sum()) for f in found]), lengths) + leading
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([f[0] for f in found]).astype(np.int64)),
                     pa.array(np.repeat(np.array([k for k, _ in rows], np.int64), lengths)),
-                    pa.array(np.repeat(sizes, lengths).astype(np.int32)),
-                    pa.array(leading),
+                    pa.array(info),
                     pa.array(np.concatenate([f[1] for f in found])),
                 ],
-                ["shingle", "node", "n", "leading", "hot"],
+                ["shingle", "node", "info", "hot"],
             )
 
-    return _texts(docs, text).mapInArrow(run, "shingle long, node long, n int, leading boolean, hot boolean")
+    return _texts(docs, text).mapInArrow(run, "shingle long, node long, info long, hot boolean")
+
+
+def least_shared(n_a, n_b, hot_a, hot_b):
+    """Prefix shingles that are not hot which two sets must share to be within the radius.
+
+    What they have in common lies in both prefixes, or behind the prefix that ends first.
+    """
+    n_a, n_b = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    behind = np.maximum(-(-4 * n_a // 5), -(-4 * n_b // 5)) - 1
+    return -(-4 * (n_a + n_b) // 9) - behind - np.minimum(hot_a, hot_b)
 
 
 def small_region_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that share a region which is not hot and whose sizes allow a link.
+    """Pairs (a, b) of nodes that share enough regions which are not hot and whose sizes allow a link.
 
     Such a region has at most ``HOT`` rows. Rows arrive sorted, and a batch keeps back its last region.
+    Shared regions are counted in the batch and then per pair.
     """
 
-    def pairs(shingle, node, n, leading):
-        first, second = [], []
+    def pairs(shingle, node, info):
+        first, second, needs, leads = [], [], [], []
         live = np.arange(len(shingle))
         for d in range(1, len(shingle)):
             live = live[live + d < len(shingle)]
             live = live[shingle[live] == shingle[live + d]]
             if not len(live):
                 break
-            other = live + d
-            swap = n[other] < n[live]
-            small, large = np.where(swap, other, live), np.where(swap, live, other)
-            keep = (node[small] != node[large]) & (5 * n[small] >= 4 * n[large])
-            keep &= leading[small] | (leading[large] & (n[small] == n[large]))
-            first.append(np.minimum(node[live], node[other])[keep])
-            second.append(np.maximum(node[live], node[other])[keep])
+            a, b = info[live], info[live + d]
+            n_a, n_b = a >> 31, b >> 31
+            least = np.minimum(n_a, n_b)
+            keep = (node[live] != node[live + d]) & (5 * least >= 4 * np.maximum(n_a, n_b))
+            lead = ((n_a == least) & (a & 1 == 1)) | ((n_b == least) & (b & 1 == 1))
+            first.append(np.minimum(node[live], node[live + d])[keep])
+            second.append(np.maximum(node[live], node[live + d])[keep])
+            needs.append(least_shared(n_a, n_b, (a & (1 << 31) - 1) >> 1, (b & (1 << 31) - 1) >> 1)[keep])
+            leads.append(lead[keep])
         if not first:
             return None
-        both = np.unique(np.stack([np.concatenate(first), np.concatenate(second)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+        a, b, need, lead = (np.concatenate(x) for x in (first, second, needs, leads))
+        order = np.lexsort((b, a))
+        a, b, need, lead = a[order], b[order], need[order], lead[order]
+        start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
+        counts = np.diff(np.append(start, len(a)))
+        leading = np.logical_or.reduceat(lead, start) if len(a) else lead
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[start]), pa.array(b[start]), pa.array(counts), pa.array(need[start]), pa.array(leading)],
+            ["a", "b", "shared", "need", "leading"],
+        )
 
     def run(batches):
         held = None
         for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            now[1], now[2] = now[1].astype(np.int64), now[2].astype(np.int64)
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
             if held is not None:
                 now = [np.concatenate([h, x]) for h, x in zip(held, now)]
             if not len(now[0]):
@@ -303,20 +334,22 @@ def small_region_pairs(rows: DataFrame) -> DataFrame:
         if held is not None and (found := pairs(*held)) is not None:
             yield found
 
-    plain = rows.filter(~F.col("hot")).select("shingle", "node", "n", "leading")
+    plain = rows.filter(~F.col("hot")).select("shingle", "node", "info")
     ordered = plain.repartition("shingle").sortWithinPartitions("shingle")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    counted = ordered.mapInArrow(run, "a long, b long, shared long, need long, leading boolean")
+    totals = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"), F.bool_or("leading").alias("leading"))
+    return totals.filter("leading and shared >= need").select("a", "b")
 
 
 # --- verification -------------------------------------------------------------------------------
 
 
 def needed_sets(docs: DataFrame, text: str, nodes: DataFrame, n: int) -> DataFrame:
-    """node and its whole set as sorted bytes, for all of the distinct ``nodes``."""
+    """node and its whole set as sorted bytes, for all of ``nodes`` and a few others that the filter lets by."""
     sets = _set_reader(docs, build_bloom(nodes, n))
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             rows = sets(batch)
             for at in range(0, len(rows), 1000):
                 part = rows[at : at + 1000]
@@ -326,14 +359,14 @@ def needed_sets(docs: DataFrame, text: str, nodes: DataFrame, n: int) -> DataFra
                 )
 
     found = _texts(docs, text).mapInArrow(run, "node long, shingles binary")
-    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return found.dropDuplicates(["node"])
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with the exact size of the intersection and of the union of their sets."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches, 256):
             left, right = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             common, union = [], []
             for x, y in zip(left, right):
@@ -356,54 +389,89 @@ LINKED = "100 * common >= 80 * total"
 # --- document pivots ----------------------------------------------------------------------------
 
 
-def _chosen_pivots(regions: DataFrame) -> DataFrame:
-    """region and pivot: per region the least node under each of ``PIVOTS`` orders; combined first."""
-    picks = [F.min_by("node", F.struct(F.xxhash64("node", F.lit(k)), "node")).alias(f"p{k}") for k in range(PIVOTS)]
-    return regions.groupBy("region").agg(F.count("*").alias("members"), *picks).select(
-        "region", "members", F.explode(F.array_distinct(F.array(*[F.col(f"p{k}") for k in range(PIVOTS)]))).alias("pivot")
+def hot_regions(rows: DataFrame) -> DataFrame:
+    """region, node and share, from the hot rows of ``region_rows``.
+
+    Sets that link have sizes within 4 to 5, so a region is split into classes of size in that ratio, and
+    every set belongs to its class and the next. ``share`` is the hot part of a set's prefix: a text that
+    others were copied from has no shingle of its own, and makes the best pivot.
+    """
+    hot = rows.filter("hot").select("shingle", "node", F.shiftright("info", 31).alias("n")).distinct()
+    counts = hot.groupBy("node").agg((F.count("*") / F.expr("any_value(n) - ceil(0.8 * any_value(n)) + 1")).alias("share"))
+    step = F.floor(F.log(1.25, F.col("n")) + 1e-9)
+    classes = hot.withColumn("step", F.explode(F.array(step, step + 1)))
+    return classes.join(counts, "node").select(F.xxhash64("shingle", "step").alias("region"), "node", "share")
+
+
+def _without_repeats(regions: DataFrame) -> DataFrame:
+    """One of all regions with the same members, and none with a single member."""
+    members = regions.groupBy("region").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
     )
+    one = members.filter("k > 1").groupBy("k", "x", "y").agg(F.min("region").alias("region")).select("region", "k")
+    return regions.join(one, "region").select("region", "node", "share", "k")
+
+
+def _chosen_pivots(regions: DataFrame, number: int) -> DataFrame:
+    """region and pivot: the ``number`` members with the largest share. Spark cuts each task's rows to that
+    number before they are shuffled."""
+    order = Window.partitionBy("region").orderBy(F.desc("share"), F.xxhash64("node"))
+    ranked = regions.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= number)
+    return ranked.select("region", F.col("node").alias("pivot"))
 
 
 def split_hot_regions(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """node and label of all classes, from ``links`` and those that connect what is close in hot regions.
 
-    ``regions`` has region and node. Each round measures members against pivots; a pair of members in
-    different classes can only be close if their distances to every pivot differ by the radius at most.
+    ``regions`` has region, node and share. Each round drops regions that lie in one class. The first one
+    measures all members against one pivot, which connects most near copies. Later ones compare, in regions
+    with up to ``HOT`` members, all pairs of different classes, and measure the members of larger ones
+    against more pivots. A pair of members in different classes can only be close if their distances to
+    every pivot differ by the radius at most; who is in no such pair leaves, as do the pivots, and the rest
+    is the region of the next round.
     """
     labels = pin(components(links), "labels")
+    regions = pin(_without_repeats(regions), "hot-regions")
+    number = 1
     while not regions.isEmpty():
-        marked = regions.join(labels, "node", "left").select("region", "node", F.coalesce("label", "node").alias("label"))
-        apart = marked.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"))
-        open_regions = apart.filter("lo <> hi")
-        regions = pin(marked.join(open_regions, "region"), "open-regions")
+        marked = regions.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        apart = marked.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+        regions = pin(marked.join(apart, "region", "left_semi"), "open-regions")
         if regions.isEmpty():
             break  # every hot region lies in one class
-        pivots = pin(_chosen_pivots(regions.select("region", "node")), "pivots")
-        star = regions.select("region", "node").join(pivots.select("region", "pivot"), "region")
-        pairs = star.filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        distance = pin(measured(pairs, sets), "pivot-distances")
-        links = pin(links.unionByName(distance.filter(LINKED).select("a", "b")).distinct(), "links")
+        limit = HOT if number > 1 else 0
+        small, large = regions.filter(F.col("k") <= limit), regions.filter(F.col("k") > limit)
+        lists = small.groupBy("region").agg(F.collect_set(F.struct("node", "label")).alias("members"))
+        crossed = F.expr("filter(members, m -> m.label <> a.label and m.node > a.node)")
+        every = lists.select(F.explode("members").alias("a"), "members").select(F.col("a.node").alias("a"), F.explode(crossed).alias("b"))
+        pivots = pin(_chosen_pivots(large, number), "pivots")
+        star = large.select("region", "node", "share").join(pivots, "region")
+        ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
+        wanted = star.filter("node <> pivot").select(*ends).union(every.select("a", "b.node"))
+        pairs = pin(wanted.distinct(), "pairs")
+        distance = pin(measured(pairs, sets), "distances")
+        links = pin(links.union(distance.filter(LINKED).select("a", "b")).distinct(), "links")
         labels = pin(components(links), "labels")
-        # Distances as numbers only decide which pairs are still possible; a margin covers rounding.
+        # Distances as numbers only say which pairs are still possible; a margin covers their rounding.
+        gap = F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("common") / F.col("total"))
         near = (
-            star.withColumns({"a": F.least("node", "pivot"), "b": F.greatest("node", "pivot")})
+            star.withColumns({"a": ends[0], "b": ends[1]})
             .join(distance, ["a", "b"], "left")
-            .select("region", "node", "pivot", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("common") / F.col("total")).alias("d"))
+            .select("region", "node", "share", "pivot", gap.alias("d"))
             .join(labels, "node", "left")
             .withColumn("label", F.coalesce("label", "node"))
         )
-        # The largest class of a region by its first pivot stays only where others come close to it.
+        # One class stays only where others come close to it: that of the first pivot.
         main = near.filter("node = pivot").groupBy("region").agg(F.min("label").alias("main"))
         sided = near.join(main, "region").withColumn("outside", F.col("label") != F.col("main"))
         rings = sided.filter("outside").groupBy("region", "pivot").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        possible = sided.join(rings, ["region", "pivot"]).withColumn(
-            "in_ring", (F.col("d") >= F.col("lo") - RADIUS - 1e-9) & (F.col("d") <= F.col("hi") + RADIUS + 1e-9)
-        )
-        # Pivots have met everyone and leave.
-        kept = possible.groupBy("region", "node").agg(
-            F.bool_and(F.col("outside") | F.col("in_ring")).alias("keep"), F.bool_or(F.col("node") == F.col("pivot")).alias("met")
+        in_ring = (F.col("d") >= F.col("lo") - RADIUS - 1e-9) & (F.col("d") <= F.col("hi") + RADIUS + 1e-9)
+        kept = sided.join(rings, ["region", "pivot"]).groupBy("region", "node", "share").agg(
+            F.bool_and(F.col("outside") | in_ring).alias("keep"), F.bool_or(F.col("node") == F.col("pivot")).alias("met")
         )
-        regions = pin(kept.filter("keep and not met").select("region", "node"), "hot-regions")
+        regions = pin(_without_repeats(kept.filter("keep and not met").select("region", "node", "share")), "hot-regions")
+        # What few pivots leave over is small or far apart: take more of them.
+        number = max(PIVOTS, 2 * number)
     return labels
 
 
@@ -424,14 +492,13 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, PART)), PART), "regions")
     pairs = pin(small_region_pairs(rows), "candidates")
     # Sets that fill their prefix with hot shingles join again among themselves, by all they hold.
-    regions = rows.filter("hot").select(F.col("shingle").alias("region"), "node")
-    common = pin(regions.select("node").distinct(), "common")
+    common = pin(rows.filter("hot").select("node").distinct(), "common")
     n_common = common.count()
     if n_common:
         only = build_bloom(common, n_common)
         rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, ALL, only)), ALL, only), "regions")
         pairs = pin(pairs.union(small_region_pairs(rows)).distinct(), "candidates")
-        regions = pin(rows.filter("hot").select(F.col("shingle").alias("region"), "node").distinct(), "hot-regions")
+    regions = pin(hot_regions(rows), "hot-regions")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(regions.select("node")).distinct()
     wanted = pin(wanted, "wanted")
     sets = pin(needed_sets(docs, text, wanted, wanted.count()), "sets")

@@ -125,6 +125,9 @@ def test_close_sets_share_a_ranked_prefix(a, b, data):
         prefixes.append(jj.ranked_prefix(inside, marks, jj.prefix_length(len(s)), counted)[0])
     small = set(prefixes[0][: jj.index_length(a)].tolist())
     assert small & set(prefixes[1].tolist())
+    plain = [{v for v in p.tolist() if v not in hot} for p in prefixes]
+    need = jj.least_shared(a, b, *[len(p) - len(q) for p, q in zip(prefixes, plain)])
+    assert len(plain[0] & plain[1]) >= need
 
 
 def test_components_of_random_links(spark):
