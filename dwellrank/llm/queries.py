@@ -88,7 +88,7 @@ def op10_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(crc_of_id(), F.lit(10)) == 0
     found = scored(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
     return found.select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "long_score"
     )
 
 

@@ -111,3 +111,50 @@ def test_familiar_text_scores_higher(spark):
     docs = spark.createDataFrame(train + [(1000, "the dog sat on the cat"), (1001, "zqxj vkw zzqx jjw kqv")], "doc_id long, text string")
     found = {r.doc_id: r.score for r in ppm.scored(docs, F.col("doc_id") < 1000).collect()}
     assert found[1000] > found[1001] + 10
+
+
+class LongModel(Model):
+    """The same with contexts of ``ORDER`` bytes."""
+
+    def __init__(self, texts):
+        self.counts = [collections.defaultdict(collections.Counter) for _ in range(ppm.ORDER + 1)]
+        for t in texts:
+            for context, symbol in self.steps(t):
+                for k in range(ppm.ORDER + 1):
+                    self.counts[k][context[ppm.ORDER - k :]][symbol] += 1
+
+    @staticmethod
+    def steps(text):
+        stream = bytes([0xFE] * ppm.ORDER) + lower(text).encode() + b"\xff"
+        return [(stream[i - ppm.ORDER : i], stream[i]) for i in range(ppm.ORDER, len(stream))]
+
+    def chance(self, context, symbol):
+        p, gone = 1.0, set()
+        for k in range(ppm.ORDER, -1, -1):
+            row = {s: n for s, n in self.counts[k].get(context[ppm.ORDER - k :], {}).items() if s not in gone}
+            if not row:
+                continue
+            whole = sum(row.values()) + len(row)
+            if symbol in row:
+                return p * row[symbol] / whole
+            p *= len(row) / whole
+            gone |= set(row)
+        return p / (256 - len(gone))
+
+
+@pytest.mark.parametrize("head", [ppm.PATH_HEAD, 50])
+def test_op10_long_contexts_equal_brute_force(spark, documents, as_table, monkeypatch, head):
+    monkeypatch.setattr(ppm, "PATH_HEAD", head)  # with 50, most paths take the join
+    rows = [(d["doc_id"], d["text"]) for d in documents if len(d["text"] or "") < 5000][:60]
+    rows += [r for k, r in enumerate(AWKWARD, 1) if k != len(AWKWARD) and r[0] is not None and len(r[1] or "") < 5000 and r[0] not in dict(rows)]
+    model = LongModel([t for i, t in rows if not held_out(i)])
+    found = __spark_entry__.queries()["op10_partial_matching"](spark, as_table(rows)).collect()
+    assert {r.doc_id: r.long_score for r in found} == pytest.approx({i: model.score(t) for i, t in rows}, rel=1e-5)
+
+
+def test_a_repeated_passage_gets_a_shorter_code(spark):
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdefgh"), 400)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(100, texts[3]), (101, "".join(rng.choice(list("abcdefgh"), 400)))], "doc_id long, text string")
+    found = {r.doc_id: r for r in ppm.scored(docs, F.col("doc_id") < 100).collect()}
+    assert found[100].long_score > found[101].long_score + 100 > found[100].score
