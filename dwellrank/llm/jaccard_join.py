@@ -16,7 +16,10 @@ pivots and measures every member's distance to them. Members within the radius a
 still apart, and those which the triangle inequality does not keep away from them, form the region of the
 next round, until each region is connected or small.
 
-Every link that could join two classes is verified on whole sets; links inside a class need not be found.
+Every link that could join two classes is verified on whole sets; that gives the classes. A link never
+leaves its class, so the rest of them are found there: a class is cut into blocks of sets of like size, and
+every two blocks whose sizes allow a link meet once and are measured whole (``near_duplicate_links``,
+``near_duplicate_counts``).
 """
 
 from __future__ import annotations
@@ -40,6 +43,9 @@ BLOOM_BITS = 1 << 25  # at most
 BLOOM_PROBES = 4
 PIVOTS = 4  # document pivots of a region in the second round, twice as many in each one after
 RADIUS = 0.2
+BLOCK = 512  # sets of a block of a class, about
+BLOCK_SHINGLES = 1 << 18  # and their shingles, about
+COLUMNS = 4096  # shingles that one product of a cell takes
 
 _STEP = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(WIDTH)], np.uint64)
 
@@ -475,19 +481,98 @@ def split_hot_regions(regions: DataFrame, sets: DataFrame, links: DataFrame) ->
     return labels
 
 
-# --- the join -----------------------------------------------------------------------------------
+# --- links inside classes -----------------------------------------------------------------------
 
 
-def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``.
+def cell_links(own: bool, sides: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Linked pairs of a cell: positions of both sets, sizes of their intersection and union.
 
-    Words are runs of anything but ASCII white space, with A-Z lower-cased; a set holds the distinct
-    5-word shingles of the whole text, or the sequence itself if it has fewer words. Two documents link
-    when 100 * intersection >= 80 * union; component_id is the smallest doc_id that links reach. Null,
-    empty and blank texts have an empty set and stay alone. Repeated rows link; a null doc_id takes part
-    but names no component unless it is alone. Shingles and sets are known by 64-bit hashes, and all else
-    is exact. Texts are read up to six times and never shuffled; sets move only for candidate pairs.
+    Sets of side 0 meet those of side 1; in the cell of a block with itself (``own``) all meet each other.
     """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    held = counts[column] > 1  # others are in no intersection
+    column, row = (np.cumsum(counts > 1) - 1)[column[held]], row[held]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == (0 if own else 1))
+    common = np.zeros((len(left), len(right)), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, COLUMNS):
+        lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, width - at)), np.float32)
+        has[row[lo:hi], column[lo:hi] - at] = 1
+        common += has[left] @ has[right].T
+    shared = np.rint(common).astype(np.int64)
+    total = sizes[left][:, None] + sizes[right][None, :] - shared
+    linked = 100 * shared >= 80 * total
+    if own:
+        linked = np.triu(linked, 1)
+    i, j = np.nonzero(linked)
+    return left[i], right[j], shared[i, j], total[i, j]
+
+
+def class_cells(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows label, s, i, t, j, side, node, copies, shingles: the sets of every cell.
+
+    ``members`` has node, n_shingles, copies and label. Sets that link have sizes within 4 to 5, so classes
+    are cut by size in that ratio and then into blocks; block i of size class s meets block j of size class t.
+    """
+    sized = members.withColumn("s", F.floor(F.log(1.25, F.col("n_shingles")) + 1e-9))
+    weight = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    blocks = pin(sized.groupBy("label", "s").agg(F.ceil(weight).alias("blocks"), F.count("*").alias("k")), "class-blocks")
+    whole = sized.join(blocks, ["label", "s"])
+    for name, shift in (("below", -1), ("above", 1)):
+        near = blocks.select("label", (F.col("s") - shift).alias("s"), F.col("blocks").alias(name))
+        whole = whole.join(near, ["label", "s"], "left")
+    whole = whole.withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
+
+    b, s = F.col("b"), F.col("s")
+
+    def cell(s_, i, t, j, side):
+        return F.struct(s_.alias("s"), i.alias("i"), t.alias("t"), j.alias("j"), side.cast("int").alias("side"))
+
+    def every(count):
+        numbers = F.sequence(F.lit(0).cast("long"), F.col(count).cast("long") - 1)
+        return F.when(F.col(count) > 0, numbers).otherwise(F.array().cast("array<bigint>"))
+
+    own = F.when(F.col("k") > 1, every("blocks")).otherwise(F.array().cast("array<bigint>"))
+    met = F.concat(
+        F.transform(own, lambda o: cell(s, F.least(b, o), s, F.greatest(b, o), b > o)),
+        F.transform(every("above"), lambda o: cell(s, b, s + 1, o, F.lit(0))),
+        F.transform(every("below"), lambda o: cell(s - 1, o, s, b, F.lit(1))),
+    )
+    meeting = whole.select("label", "node", "copies", F.explode(met).alias("c")).select("label", "c.*", "node", "copies")
+    return meeting.join(sets, "node")
+
+
+def _measured_cells(members: DataFrame, sets: DataFrame, pairs: bool) -> DataFrame:
+    """Linked pairs (a, b, common, total), or node and links: the copies of its linked sets, cell by cell."""
+
+    def run(table: pa.Table) -> pa.Table:
+        first = table.slice(0, 1).to_pylist()[0]
+        own, sides = (first["s"], first["i"]) == (first["t"], first["j"]), table.column("side").to_numpy()
+        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        i, j, common, total = cell_links(own, sides, found)
+        if pairs:
+            a, b = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
+            return pa.table({"a": a, "b": b, "common": common, "total": total})
+        links = np.zeros(len(nodes), np.int64)
+        np.add.at(links, i, copies[j])
+        np.add.at(links, j, copies[i])
+        return pa.table({"node": nodes, "links": links})
+
+    schema = "a long, b long, common long, total long" if pairs else "node long, links long"
+    return class_cells(members, sets).groupBy("label", "s", "i", "t", "j").applyInArrow(run, schema)
+
+
+# --- the join -----------------------------------------------------------------------------------
+
+
+def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes of all rows, the sets that any link can have, and node and label of all that have one."""
     nodes = pin(document_nodes(docs, text), "nodes")
     rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, PART)), PART), "regions")
     pairs = pin(small_region_pairs(rows), "candidates")
@@ -503,9 +588,59 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     wanted = pin(wanted, "wanted")
     sets = pin(needed_sets(docs, text, wanted, wanted.count()), "sets")
     links = pin(measured(pairs, sets).filter(LINKED).select("a", "b"), "links")
-    labels = split_hot_regions(regions, sets, links)
+    return nodes, sets, split_hot_regions(regions, sets, links)
+
+
+def _members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, n_shingles, copies (its rows) and label of all sets that link to another one."""
+    distinct = nodes.filter("node is not null").groupBy("node").agg(F.any_value("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
+    return distinct.join(labels, "node")
+
+
+def _named(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``nodes`` with component_id."""
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     # Documents alone in their class need no partner in this join.
     named = labelled.join(least.filter("k > 1"), "label", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    return named.select("doc_id", "node", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``.
+
+    Words are runs of anything but ASCII white space, with A-Z lower-cased; a set holds the distinct
+    5-word shingles of the whole text, or the sequence itself if it has fewer words. Two documents link
+    when 100 * intersection >= 80 * union; component_id is the smallest doc_id that links reach. Null,
+    empty and blank texts have an empty set and stay alone. Repeated rows link; a null doc_id takes part
+    but names no component unless it is alone. Shingles and sets are known by 64-bit hashes, and all else
+    is exact. Texts are read up to six times and never shuffled; sets move only for candidate pairs.
+    """
+    nodes, _, labels = _classes(docs, text)
+    return _named(nodes, labels).drop("node")
+
+
+def near_duplicate_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``near_duplicate_classes`` with n_links: how many other rows of ``docs`` a row links to.
+
+    Rows with equal sets link to each other, so copies count. No pair becomes a row: a cell gives a sum for
+    each of its sets.
+    """
+    nodes, sets, labels = _classes(docs, text)
+    labels = pin(labels, "labels")
+    members = pin(_members(nodes, labels), "members")
+    sums = _measured_cells(members, sets, False).groupBy("node").agg(F.sum("links").alias("links"))
+    copies = nodes.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
+    # Sets without a partner and with one row need no place in this join.
+    linked = copies.join(sums, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = _named(nodes, labels).join(linked.filter("n_links > 0"), "node", "left")
+    return named.select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def near_duplicate_links(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links between distinct sets (a, b, common, total), and the rows they stand for (doc_id, node, n_shingles).
+
+    Rows that share a node link as well. The number of links can grow with the square of a group.
+    """
+    nodes, sets, labels = _classes(docs, text)
+    return _measured_cells(pin(_members(nodes, labels), "members"), sets, True), nodes

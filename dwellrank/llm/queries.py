@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dwellrank.llm.common import crc_of_id, table, whole_text
 from dwellrank.llm.decontamination import find_passages
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
-from dwellrank.llm.jaccard_join import near_duplicate_classes
+from dwellrank.llm.jaccard_join import near_duplicate_counts
 from dwellrank.llm.language_id import fit, identify
 from dwellrank.llm.ppm_scores import scored
 from dwellrank.llm.secrets import scan_secrets
@@ -54,7 +54,7 @@ def op5_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+    return near_duplicate_counts(table(spark, sf_dir, "documents"))
 
 
 def op7_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:

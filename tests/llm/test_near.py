@@ -137,3 +137,29 @@ def test_components_of_random_links(spark):
     rows = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.label for r in rows} == closed(nodes, [p for p in links if p[0] != p[1]])
     assert len(rows) == len(nodes)
+
+
+def all_links(rows):
+    """Every linked pair of ids, by comparing all of them."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    return {(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if x and 100 * len(x & y) >= 80 * len(x | y)}
+
+
+@pytest.mark.parametrize("block", [jj.BLOCK, 5])
+def test_op6_counts_every_link(spark, as_table, hard_rows, monkeypatch, block):
+    monkeypatch.setattr(jj, "HOT", 8)
+    monkeypatch.setattr(jj, "PIVOTS", 2)
+    monkeypatch.setattr(jj, "BLOCK", block)
+    monkeypatch.setattr(jj, "COLUMNS", 64)
+    expected = collections.Counter(x for pair in all_links(hard_rows) for x in pair)
+    rows = __spark_entry__.queries()["op6_jaccard_regions"](spark, as_table(hard_rows)).collect()
+    assert {r.doc_id: r.n_links for r in rows} == {i: expected[i] for i, _ in hard_rows}
+
+
+def test_all_links_between_distinct_sets(spark, hard_rows):
+    docs = spark.createDataFrame(hard_rows, "doc_id long, text string")
+    links, nodes = jj.near_duplicate_links(docs)
+    node = {r.doc_id: r.node for r in nodes.collect()}
+    expected = {tuple(sorted((node[a], node[b]))) for a, b in all_links(hard_rows) if node[a] != node[b]}
+    found = [(r.a, r.b) for r in links.collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
