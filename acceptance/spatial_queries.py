@@ -138,6 +138,41 @@ def spatial_within_hot_point(t: Inputs) -> DataFrame:
     return joined.groupBy("area").agg(F.count("*").alias("points"))
 
 
+@query(f"select area, count(*) as points {_INSIDE} group by area")
+def spatial_within_bad_polygon_all(t: Inputs) -> DataFrame:
+    """All squares with one area added that reaches to infinity and one that is open."""
+    ring = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in ((0.0, 0.0), (float("inf"), 0.0), (1.0, 1.0), (0.0, 0.0))])
+    bad = t.spark.range(2).select((-F.col("id")).alias("area"), F.array(F.array(F.when(F.col("id") == 0, ring).otherwise(F.slice(ring, 1, 2)))).alias("geometry"))
+    spots = _places(t).groupBy("longitude", "latitude").agg(F.count("*").alias("n"))
+    joined = within_join(spots, _squares(t).unionByName(bad), "inner")
+    return joined.groupBy("area").agg(F.sum("n").alias("points"))
+
+
+_BLOCKS = """(select s_suppkey as area, 11 + (s_suppkey % 7) * 15e-2 as x0, 48 + (s_suppkey % 5) * 21e-2 as y0,
+                     case s_suppkey % 3 when 0 then 3e-1 when 1 then 1e0 else 3e0 end as side from supplier)"""
+
+
+@query(f"""
+    select area, cast(sum(n) as bigint) as points
+    from (select 12 + k * 1e-2 as x, 49 + k * 1e-2 as y, n
+          from (select event_id % 3 as k, count(*) as n from events group by event_id % 3)) p, {_BLOCKS} s
+    where x > x0 and x < x0 + side and y > y0 and y < y0 + side group by area""")
+def spatial_within_hot_point_all(t: Inputs) -> DataFrame:
+    """All events on three places, joined row by row on the shuffled path with a square for every supplier."""
+    key = F.col("s_suppkey")
+    side = F.when(key % 3 == 0, 3e-1).when(key % 3 == 1, 1.0).otherwise(3.0)
+    boxed = t.table("supplier").select(
+        key.alias("area"), (11 + (key % 7) * 15e-2).alias("x0"), (48 + (key % 5) * 21e-2).alias("y0"), side.alias("side")
+    )
+    x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("side"), F.col("y0") + F.col("side")
+    ring = F.array(*[F.array(a, b) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
+    third = (F.col("event_id") % 3) * 1e-2
+    spots = t.table("events").select((12 + third).alias("longitude"), (49 + third).alias("latitude"))
+    areas = boxed.select("area", F.array(F.array(ring)).alias("geometry"))
+    joined = within_join(spots, areas, "inner", max_broadcast_edges=0)
+    return joined.groupBy("area").agg(F.count("*").alias("points"))
+
+
 @query("select count(*) as outside from v_points where vec_id not in (select vec_id from v_hits)")
 def anti_unmatched(t: Inputs) -> DataFrame:
     return count_unmatched(t.points, t.districts, "outside")

@@ -214,3 +214,19 @@ def test_area_of_a_small_rectangle(spark):
     assert found["holed"] == pytest.approx(75.27 * 0.75, rel=0.001)
     assert found["half"] == pytest.approx(75.27 / 2, rel=0.002)
     assert dict(rows(area_sizes(df)))["full"] == pytest.approx(75.27, rel=0.001)
+
+
+def test_whole_hot_point_and_bad_polygon_queries_meet_every_square(spark, inputs):
+    from acceptance.catalog import QUERIES
+    from tests.conftest import SMALL
+
+    events = [r.event_id for r in inputs.table("events").select("event_id").collect()]
+    expected = {}
+    for (key,) in inputs.table("supplier").select("s_suppkey").collect():
+        x0, y0, side = 11 + (key % 7) * 15e-2, 48 + (key % 5) * 21e-2, (3e-1, 1e0, 3e0)[key % 3]
+        n = sum(x0 < 12 + i % 3 * 1e-2 < x0 + side and y0 < 49 + i % 3 * 1e-2 < y0 + side for i in events)
+        if n:
+            expected[key] = n
+    assert expected and dict(rows(QUERIES["spatial_within_hot_point_all"](spark, SMALL))) == expected
+    whole = rows(QUERIES["spatial_within_bad_polygon_all"](spark, SMALL))
+    assert whole == rows(QUERIES["spatial_within_many_areas"](spark, SMALL)) and max(area for area, _ in whole) >= 40
