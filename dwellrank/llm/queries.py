@@ -10,13 +10,15 @@ from dwellrank.llm.decontamination import find_passages
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
 from dwellrank.llm.jaccard_join import near_duplicate_counts
 from dwellrank.llm.language_id import fit, identify
+from dwellrank.llm.manifest import LOWER, UPPER, manifest, proof_digest, verified
 from dwellrank.llm.ppm_scores import scored
 from dwellrank.llm.secrets import scan_secrets
 from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.llm.sharding import assign
+from dwellrank.llm.sql_twins import manifest_sql, url_models_sql
 from dwellrank.llm.token_counts import token_counts
 from dwellrank.llm.token_files import corpus_files
-from dwellrank.llm.url_filter import ORDER, Rule, filter_urls
+from dwellrank.llm.url_filter import Rule, filter_urls
 
 SHARDS = 40
 
@@ -105,72 +107,14 @@ def op11_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _url_models_sql() -> str:
-    """The rows of op11 in SQL: one mixing step per order of context."""
-    laws = """
-        laws0 as (
-            select gram, case when s.na > 0 then (coalesce(a, 0) + s.ta * u) / (s.na + s.ta) else u end as pa,
-                case when s.nr > 0 then (coalesce(r, 0) + s.tr * u) / (s.nr + s.tr) else u end as pr
-            from (select distinct right(gram, 1) as gram from wanted) left join (
-                select right(gram, 1) as gram, sum(a) as a, sum(r) as r from counts group by 1) using (gram),
-            (select coalesce(sum(a), 0) as na, count(case when a > 0 then 1 end) as ta, coalesce(sum(r), 0) as nr,
-                count(case when r > 0 then 1 end) as tr, cast(1 as double) / (count(*) + 1) as u
-             from (select right(gram, 1) as gram, sum(a) as a, sum(r) as r from counts group by 1)) s
-        )"""
-    for k in range(1, ORDER + 1):
-        laws += f""",
-        here{k} as (select right(gram, {k + 1}) as gram, sum(a) as a, sum(r) as r from counts group by 1),
-        behind{k} as (
-            select left(gram, {k}) as context, sum(a) as na, count(case when a > 0 then 1 end) as ta,
-                sum(r) as nr, count(case when r > 0 then 1 end) as tr from here{k} group by 1),
-        laws{k} as (
-            select w.gram,
-                case when coalesce(na, 0) > 0 then (coalesce(a, 0) + ta * s.pa) / (na + ta) else s.pa end as pa,
-                case when coalesce(nr, 0) > 0 then (coalesce(r, 0) + tr * s.pr) / (nr + tr) else s.pr end as pr
-            from (select distinct right(gram, {k + 1}) as gram from wanted) w
-            join laws{k - 1} s on s.gram = right(w.gram, {k})
-            left join here{k} h on h.gram = w.gram left join behind{k} b on b.context = left(w.gram, {k})
-        )"""
-    return f"""
-        with split as (
-            select page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                    'abcdefghijklmnopqrstuvwxyz') as host,
-                regexp_extract(substring(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
-            from (select page_id, coalesce(url, '') as url,
-                case when instr(url, '://') > 0 then substring(url, instr(url, '://') + 3) else '' end as rest from pages)
-        ), ruled as (
-            select *, case when (host = 'example.net' or host like '%.example.net') and path like '/en/%' then 'example.net/en/'
-                when (host = 'example.com' or host like '%.example.com') and path like '/de/%' then 'example.com/de/'
-                when (host = 'org' or host like '%.org') and path like '/fr/%' then 'org/fr/'
-                when (host = 'net' or host like '%.net') and path like '/%' then 'net/' end as rule
-            from split
-        ), marked as (
-            select *, case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block' end as ruled from ruled
-        ), pieces as (
-            select url, ruled, fold, substring(padded, cast(i as bigint), {ORDER + 1}) as gram from (
-                select url, ruled, repeat(chr(2), {ORDER}) || url || chr(3) as padded, sha256(url)[1] in ('0', '1', '2') as fold,
-                    unnest(range(1, length(url) + 2)) as i
-                from (select distinct url, ruled from marked))
-        ), counts as (
-            select gram, count(case when ruled = 'allow' then 1 end) as a, count(case when ruled = 'block' then 1 end) as r
-            from pieces where ruled is not null and not fold group by 1
-        ), wanted as (select distinct gram from pieces where ruled is null or fold),
-        {laws},
-        scores as (
-            select url, any_value(ruled) as ruled, cast(floor(sum(ratio) / (count(*) * 1000)) as bigint) as step
-            from pieces join (
-                select gram, cast(round((ln(pa) - ln(pr)) * 1000000) as bigint) as ratio from laws{ORDER}) using (gram)
-            where ruled is null or fold group by 1
-        ), steps as (
-            select least(step, greatest(0, lead(step) over (order by step desc) + 1)) as step, sum(a) over (order by step desc) * sum(r) over () - sum(r) over (order by step desc) * sum(a) over () as gain,
-                sum(a) over () * sum(r) over () as cells
-            from (select step, count(case when ruled = 'allow' then 1 end) as a, count(case when ruled = 'block' then 1 end) as r
-                from scores where ruled is not null group by 1)
-        ), least as (select coalesce((select step from steps where cells > 0 order by gain desc, abs(step), step limit 1), 0) as least)
-        select page_id, host, path, rule,
-            coalesce(m.ruled, case when step >= least then 'allow' else 'block' end) as verdict
-        from marked m left join scores s using (url), least
-    """
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null doc_id has no decimal text, so its row is not tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.col("doc_id").isNotNull() & (F.pmod(crc_of_id(), F.lit(3)) == 0)
+    rows = manifest(docs, tampered={"text": F.when(hit, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))})
+    return verified(rows).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
 
 
 QUERIES = {
@@ -185,6 +129,7 @@ QUERIES = {
     "op9_virtual_slots": op9_virtual_slots,
     "op10_partial_matching": op10_partial_matching,
     "op11_url_models": op11_url_models,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 ORACLES = {
@@ -196,5 +141,6 @@ ORACLES = {
             from (select doc_id, coalesce(text, '') as body from documents)
         )
     """,
-    "op11_url_models": _url_models_sql(),
+    "op11_url_models": url_models_sql(),
+    "op12_merkle_manifest": manifest_sql(),
 }
