@@ -19,6 +19,7 @@ from dwellrank.llm.sql_twins import manifest_sql, url_models_sql
 from dwellrank.llm.token_counts import token_counts
 from dwellrank.llm.token_files import corpus_files
 from dwellrank.llm.url_filter import Rule, filter_urls
+from dwellrank.llm.whitening import whiten
 
 SHARDS = 40
 
@@ -117,6 +118,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_simhash_windows": op1_simhash_windows,
     "op2_token_counts": op2_token_counts,
@@ -130,6 +135,7 @@ QUERIES = {
     "op10_partial_matching": op10_partial_matching,
     "op11_url_models": op11_url_models,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_exact_whitening": op13_exact_whitening,
 }
 
 ORACLES = {
