@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acceptance.registry import query
 from acceptance.views import Inputs, half_up
 from dwellrank.functions.scalars import utc_instant
+from dwellrank.operators.asof import asof_join
 from dwellrank.operators.joins import station_areas
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, delays_with_area
 from dwellrank.plans.punctuality import feed_profile as profile
@@ -90,6 +91,45 @@ def json_merge_two_docs(t: Inputs) -> DataFrame:
     return merge_conditions(weather, air).drop("snapshot_time")
 
 
+_AS_OF = """
+    select w.location, strftime(w.at, '%Y-%m-%dT%H:%M') as observed, w.value as temperature_c, w.value * 4 as rain_mm,
+           case when FRESH then a.value end as european_aqi, case when FRESH then a.value * 4 end as ozone
+    from (from v_timed where of_weather) w
+    asof left join (from v_timed where not of_weather) a on w.location = a.location and w.at >= a.at"""
+
+
+def _conditions(t: Inputs, tolerance: Column | None = None) -> DataFrame:
+    weather = read_weather(t.spark, land_json(t.timed_weather, "weather"))
+    air = read_air_quality(t.spark, land_json(t.timed_air_quality, "air-quality"))
+    return merge_conditions(weather, air, tolerance=tolerance).select(
+        "location", "observed", "temperature_c", "rain_mm", "european_aqi", "ozone"
+    )
+
+
+@query(_AS_OF.replace("FRESH", "true"))
+def conditions_as_of(t: Inputs) -> DataFrame:
+    """Two services that report at different times, a third of all observations at one place."""
+    return _conditions(t)
+
+
+@query(_AS_OF.replace("FRESH", "w.at - a.at <= interval 90 minute"))
+def conditions_as_of_tolerance(t: Inputs) -> DataFrame:
+    return _conditions(t, F.expr("interval 90 minutes"))
+
+
+@query("""
+    select p.event_id, c.event_id as click_id
+    from (from events where event_type = 'purchase') p
+    asof left join (select user_id % 3 as k, ts, max(event_id) as event_id from events where event_type = 'click' group by all) c
+    on p.user_id % 3 = c.k and p.ts >= c.ts""")
+def asof_last_click(t: Inputs) -> DataFrame:
+    """Every purchase with the last click before it, in three groups of users."""
+    events = t.table("events").select("event_id", (F.col("user_id") % 3).alias("k"), "ts", "event_type")
+    purchases = events.filter("event_type = 'purchase'").select("event_id", "k", "ts")
+    clicks = events.filter("event_type = 'click'").select("k", "ts", F.col("event_id").alias("click_id"))
+    return asof_join(purchases, clicks, ["k"], "ts").select("event_id", "click_id")
+
+
 @query("""
     select feed_timestamp, stop_id, delay from v_trip_delays where stop_id is not null and delay is not null""")
 def nested_feed_explode(t: Inputs) -> DataFrame:

@@ -169,7 +169,10 @@ def price_map_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
 
 
 def conditions_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    merged = merge_conditions(read_weather(spark, paths["weather"]), read_air_quality(spark, paths["air_quality"]))
+    weather = read_weather(spark, paths["weather"], args.place)
+    air = read_air_quality(spark, paths["air_quality"], args.place)
+    older = F.make_dt_interval(mins=F.lit(args.tolerance_minutes)) if args.tolerance_minutes is not None else None
+    merged = merge_conditions(weather, air, tolerance=older)
     sinks.append(merged, output, schemas.CONDITIONS)
 
 
@@ -224,6 +227,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--partitions", type=int, help="partitions after reading files one task each")
     parser.add_argument("--max-files", type=int, help="landed files of a micro-batch, at most")
     parser.add_argument("--table", help="catalog table to replace with the mart as well")
+    parser.add_argument("--place", help="location of landed conditions that name none")
+    parser.add_argument("--tolerance-minutes", type=int, help="how much older than the weather an air quality may be")
     parser.add_argument("--weights", type=float, nargs=3, default=(0.5, 0.5, 0.0), metavar=("VALUE", "TRANSIT", "EVENTS"))
     return parser.parse_args(argv)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwellrank.operators.asof import asof_join
 from dwellrank.schemas import AIR_QUALITY, EVENT_SEARCH, WEATHER
 
 
@@ -36,22 +37,49 @@ def earliest_events(events: DataFrame, limit: int = 200) -> DataFrame:
     return events.orderBy(F.col("date").asc_nulls_last(), "name").limit(limit)
 
 
-def read_weather(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(WEATHER).json(path)
+def _placed(documents: DataFrame, place: str | None) -> DataFrame:
+    """The documents' own location, or ``place`` where they name none, as responses of the services do."""
+    return documents.withColumn("location", F.coalesce("location", F.lit(place).cast("string")))
 
 
-def read_air_quality(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(AIR_QUALITY).json(path)
+def read_weather(spark: SparkSession, path: str | list[str], place: str | None = None) -> DataFrame:
+    return _placed(spark.read.schema(WEATHER).json(path), place)
 
 
-def merge_conditions(weather: DataFrame, air: DataFrame, snapshot_time: Column | None = None) -> DataFrame:
-    """Weather and air quality of the same place and observation time as one record.
+def read_air_quality(spark: SparkSession, path: str | list[str], place: str | None = None) -> DataFrame:
+    return _placed(spark.read.schema(AIR_QUALITY).json(path), place)
 
-    ``snapshot_time`` is the run time, by default the current timestamp.
+
+def observation_time(text: Column) -> Column:
+    """A time as the services write it (to the day, minute or second, in UTC); null if it is none."""
+    formats = ("yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for form in formats])
+
+
+def merge_conditions(
+    weather: DataFrame, air: DataFrame, snapshot_time: Column | None = None, tolerance: Column | None = None
+) -> DataFrame:
+    """Each weather observation with the latest air quality of its place up to then, as one record.
+
+    The two services report at different steps, so their times need not be equal; ``tolerance`` is the interval
+    an air quality may be older, without limit by default. Weather without any has nulls there.
+    An observation that was landed twice is one record, and of several with one place and time the
+    largest is taken. Documents without a place belong together, and those whose time is not readable match
+    where it is the same text. ``snapshot_time`` is the run time, by default the current timestamp.
     """
-    w = weather.select("location", F.col("current.time").alias("observed"), F.col("current").alias("w"))
-    a = air.select("location", F.col("current.time").alias("observed"), F.col("current").alias("a"))
-    return w.join(a, ["location", "observed"]).select(
+
+    def observed(documents: DataFrame, name: str) -> DataFrame:
+        text = F.col("current.time")
+        known = documents.filter(F.col("current").isNotNull()).groupBy("location", text.alias("observed")).agg(F.max("current").alias(name))
+        at = observation_time(F.col("observed"))
+        return known.select(
+            F.struct(F.coalesce("location", F.lit("")).alias("place"), F.when(at.isNull(), F.col("observed")).alias("text")).alias("of"),
+            F.coalesce(at, F.timestamp_seconds(F.lit(0))).alias("at"),
+            F.struct("location", "observed", name).alias(name),
+        )
+
+    met = asof_join(observed(weather, "w"), observed(air, "a"), ["of"], "at", tolerance)
+    return met.select("w.*", F.col("a.a").alias("a")).select(
         (snapshot_time if snapshot_time is not None else F.current_timestamp()).alias("snapshot_time"),
         "location",
         "observed",
