@@ -10,7 +10,7 @@ from acceptance.views import VIEWS, Inputs, half_up
 from dwellrank.functions.geometry import area_km2, is_valid, to_wkt
 from dwellrank.operators.spatial import count_unmatched, within_join
 from dwellrank.plans.events import busiest, events_by_category, events_scores
-from dwellrank.plans.geometry import stop_lookup
+from dwellrank.plans.geometry import area_geometry_from_text, stop_lookup
 from dwellrank.session import scratch_path
 from dwellrank.sources.files import read_geojson
 
@@ -215,6 +215,38 @@ def geo_valid(t: Inputs) -> DataFrame:
     return t.parcels.select("neighbourhood", is_valid(F.col("geometry")).alias("valid"))
 
 
+# Texts beside those of the parcels, by customer: a bow tie, a hole outside, a hole across the outline, a spike,
+# a missing bracket, a word for a number, a third number, and one written in another style.
+_SPOILED = {
+    1: "POLYGON ((0 0, 4 4, 4 0, 0 4, 0 0))",
+    2: "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (5 5, 6 5, 6 6, 5 6, 5 5))",
+    3: "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (3 3, 6 3, 6 6, 3 6, 3 3))",
+    4: "POLYGON ((0 0, 4 0, 2 0, 4 4, 0 4, 0 0))",
+    5: "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 0))",
+    6: "POLYGON ((0 0, 4 0, 4 four, 0 4, 0 0))",
+    7: "POLYGON ((0 0 1, 4 0 1, 4 4 1, 0 0 1))",
+    8: "MULTIPOLYGON (((0 0, 9 0, 9 9, 0 9, 0 0)), ((2 2, 3 2, 3 3, 2 2)))",
+    9: " multipolygon( ((0 0,-1e1 .5,1. +4,0 0)) ) ",
+}
+_SPOILED_SQL = " ".join(f"when {k} then '{v}'" for k, v in _SPOILED.items())
+
+
+@query(f"""
+    select neighbourhood, coalesce(vertices, 0)::int as vertices, geometry_wkt from (
+        select neighbourhood, case c_custkey % 13 {_SPOILED_SQL} else geometry_wkt end as geometry_wkt,
+               case when c_custkey % 13 = 9 then 4 when c_custkey % 13 between 1 and 8 or shape >= 4 then 0 else n end as vertices
+        from v_parcel_wkt join (select c_custkey, sum(len(r)) as n from v_parcel_rings group by 1) using (c_custkey))""")
+def geo_parse_text(t: Inputs) -> DataFrame:
+    """Geometry read from the text of all parcels, nine in thirteen of them spoiled or in another style."""
+    case = F.col("c_custkey") % 13
+    text = to_wkt(F.col("geometry"), F.col("geometry_type"))
+    for k, spoiled in _SPOILED.items():
+        text = F.when(case == k, spoiled).otherwise(text)
+    table = area_geometry_from_text(t.parcels.select("neighbourhood", text.alias("geometry_wkt")))
+    vertices = F.aggregate("geometry", F.lit(0), lambda n, polygon: F.aggregate(polygon, n, lambda m, ring: m + F.size(ring)))
+    return table.select("neighbourhood", F.coalesce(vertices, F.lit(0)).alias("vertices"), "geometry_wkt")
+
+
 @query(f"""
     select neighbourhood, {half_up('sum(case when ring_no = 1 then area else -area end)', 4)} as area_km2
     from (select neighbourhood, polygon_no, ring_no,

@@ -143,3 +143,42 @@ def area_km2(geometry: Column) -> Column:
     return F.aggregate(
         F.transform(geometry, polygon_area), F.lit(0.0), lambda acc, part: acc + part
     )
+
+
+_NUMBER = r"[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?"
+
+
+def wkt_type(text: Column) -> Column:
+    """``Polygon`` or ``MultiPolygon``, by the first word; null for anything else."""
+    tag = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+    return F.when(tag == "POLYGON", "Polygon").when(tag == "MULTIPOLYGON", "MultiPolygon")
+
+
+def from_wkt(text: Column) -> Column:
+    """The geometry of well-known text, or null where any part of it does not parse.
+
+    Words in either case and blanks anywhere between the parts are allowed. Vertices have two numbers. The
+    text is split at its brackets from the outside in: polygons, rings, vertices, numbers. A bracket that is
+    missing, doubled or out of place stays behind in some number, which is none then.
+    """
+    body = F.regexp_replace(F.regexp_replace(text, r"^\s*[A-Za-z]+", ""), r"\s*([(),])\s*", "$1")
+    body = F.regexp_replace(F.trim(body), r"\s+", " ")
+    nested = F.when(wkt_type(text) == "Polygon", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
+    inner = F.substring(nested, F.lit(4), F.length(nested) - 6)
+    framed = nested.startswith("(((") & nested.endswith(")))") & (F.length(nested) > 6)
+
+    def vertex(part: Column) -> Column:
+        return F.when(part.rlike(f"^{_NUMBER} {_NUMBER}$"), F.transform(F.split(part, " "), lambda v: v.try_cast("double")))
+
+    def ring(part: Column) -> Column:
+        return F.transform(F.split(part, ","), vertex)
+
+    def whole(geometry: Column) -> Column:
+        return F.forall(geometry, lambda p: F.forall(p, lambda r: F.forall(r, lambda v: v.isNotNull())))
+
+    polygons = F.transform(
+        F.split(inner, r"\)\),\(\("), lambda polygon: F.transform(F.split(polygon, r"\),\("), ring)
+    )
+    # A list of one geometry, so that its text is taken apart once.
+    read = F.filter(F.array(polygons), whole)
+    return F.when(wkt_type(text).isNotNull() & framed, F.get(read, F.lit(0)))

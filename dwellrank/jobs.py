@@ -17,7 +17,7 @@ from dwellrank.constants import MIN_LISTINGS
 from dwellrank.operators.joins import station_areas
 from dwellrank.plans.connectivity import connectivity_scores, departures_by_hour
 from dwellrank.plans.events import events_by_category, events_scores
-from dwellrank.plans.geometry import area_geometry, area_sizes, stop_lookup
+from dwellrank.plans.geometry import area_geometry, area_geometry_from_text, area_sizes, stop_lookup
 from dwellrank.plans.listings import clean_listings, room_type_breakdown, value_scores
 from dwellrank.plans.mart import (
     area_type_counts,
@@ -104,6 +104,11 @@ def geometry_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     sinks.replace(area_geometry(_areas(spark, paths, args)), output)
 
 
+def geometry_text_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """Areas whose geometry is a text column; texts may hold line breaks."""
+    sinks.replace(area_geometry_from_text(read_multiline_csv(spark, paths["areas"], schemas.AREA_TEXT, args.partitions)), output)
+
+
 def area_sizes_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     sinks.replace_csv(area_sizes(_areas(spark, paths, args)), output)
 
@@ -198,6 +203,7 @@ JOBS: dict[str, Callable] = {
     "events": events_job,
     "events-by-category": categories_job,
     "area-geometry": geometry_job,
+    "area-geometry-text": geometry_text_job,
     "area-sizes": area_sizes_job,
     "stop-lookup": stop_lookup_job,
     "punctuality": punctuality_job,

@@ -5,18 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellrank.functions.geometry import area_km2, is_valid, to_wkt
+from dwellrank.functions.geometry import area_km2, from_wkt, is_valid, to_wkt, wkt_type
 from dwellrank.operators.spatial import within_join
+from dwellrank.operators.validity import with_validity
+
+
+def _usable(features: DataFrame) -> DataFrame:
+    """``features`` with the geometry null where rings are broken, cross or lie outside each other."""
+    judged = with_validity(features, "_valid")
+    return judged.withColumn("geometry", F.when(F.col("_valid"), F.col("geometry"))).drop("_valid")
 
 
 def area_geometry(features: DataFrame) -> DataFrame:
     """Area, geometry (null when invalid) and well-known text."""
-    geometry = F.col("geometry")
-    return features.select(
-        "neighbourhood",
-        F.when(is_valid(geometry), geometry).alias("geometry"),
-        to_wkt(geometry, F.col("geometry_type")).alias("geometry_wkt"),
-    )
+    named = features.select("neighbourhood", "geometry", to_wkt(F.col("geometry"), F.col("geometry_type")).alias("geometry_wkt"))
+    return _usable(named)
+
+
+def area_geometry_from_text(texts: DataFrame) -> DataFrame:
+    """Area, geometry type, geometry and the text itself, from ``neighbourhood`` and ``geometry_wkt``.
+
+    Text that does not parse and geometries that are not valid give null, never an error.
+    """
+    text = F.col("geometry_wkt")
+    parsed = texts.select("neighbourhood", wkt_type(text).alias("geometry_type"), from_wkt(text).alias("geometry"), "geometry_wkt")
+    return _usable(parsed)
 
 
 def area_sizes(features: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 STOP_TIMES = "trip_id string, stop_id string, departure_time string"
 STOPS = "stop_id string, stop_lat string, stop_lon string"
 STOP_LOOKUP = "stop_id string, neighbourhood string"
+AREA_TEXT = "neighbourhood string, geometry_wkt string"
 AREA_SIZES = "neighbourhood string, area_km2 string"
 
 _LISTING_HEAD = (
