@@ -116,28 +116,6 @@ def spatial_within_many_areas(t: Inputs) -> DataFrame:
     return within_join(spots, _squares(t), "inner").groupBy("area").agg(F.sum("n").alias("points"))
 
 
-@query(f"select area, count(*) as points {_INSIDE} and area < 40 group by area")
-def spatial_within_bad_polygon(t: Inputs) -> DataFrame:
-    """The same with one area added that reaches to infinity and one that is open."""
-    ring = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in ((0.0, 0.0), (float("inf"), 0.0), (1.0, 1.0), (0.0, 0.0))])
-    bad = t.spark.range(2).select((-F.col("id")).alias("area"), F.array(F.array(F.when(F.col("id") == 0, ring).otherwise(F.slice(ring, 1, 2)))).alias("geometry"))
-    spots = _places(t).groupBy("longitude", "latitude").agg(F.count("*").alias("n"))
-    areas = _squares(t).filter(F.col("area") < 40).unionByName(bad)
-    return within_join(spots, areas, "inner").groupBy("area").agg(F.sum("n").alias("points"))
-
-
-@query(f"""
-    select area, count(*) as points
-    from (select 12 + (event_id % 3) * 1e-2 as x, 49 + (event_id % 3) * 1e-2 as y from events) p, {_SQUARES} s
-    where x > x0 and x < x0 + side and y > y0 and y < y0 + side and area < 5 group by area""")
-def spatial_within_hot_point(t: Inputs) -> DataFrame:
-    """All events on three places, joined row by row on the shuffled path."""
-    third = (F.col("event_id") % 3) * 1e-2
-    spots = t.table("events").select((12 + third).alias("longitude"), (49 + third).alias("latitude"))
-    joined = within_join(spots, _squares(t).filter(F.col("area") < 5), "inner", max_broadcast_edges=0)
-    return joined.groupBy("area").agg(F.count("*").alias("points"))
-
-
 @query(f"select area, count(*) as points {_INSIDE} group by area")
 def spatial_within_bad_polygon_all(t: Inputs) -> DataFrame:
     """All squares with one area added that reaches to infinity and one that is open."""
@@ -173,6 +151,20 @@ def spatial_within_hot_point_all(t: Inputs) -> DataFrame:
     return joined.groupBy("area").agg(F.count("*").alias("points"))
 
 
+@query(f"""
+    select coalesce(s.area, -1) as area, count(*) as events
+    from {_PLACES} p left join {_SQUARES} s on x > x0 and x < x0 + side and y > y0 and y < y0 + side group by 1""")
+def spatial_within_events_left(t: Inputs) -> DataFrame:
+    """Every event with all squares it lies in, on three levels at once; those in none are kept."""
+    joined = within_join(_places(t), _squares(t), "left", max_broadcast_edges=0)
+    return joined.groupBy(F.coalesce("area", F.lit(-1)).alias("area")).agg(F.count("*").alias("events"))
+
+
+@query(f"select count(*) as outside from {_PLACES} p where not exists (select 1 from {_SQUARES} s where x > x0 and x < x0 + side and y > y0 and y < y0 + side)")
+def anti_unmatched_events(t: Inputs) -> DataFrame:
+    return count_unmatched(_places(t), _squares(t), "outside")
+
+
 @query("select count(*) as outside from v_points where vec_id not in (select vec_id from v_hits)")
 def anti_unmatched(t: Inputs) -> DataFrame:
     return count_unmatched(t.points, t.districts, "outside")

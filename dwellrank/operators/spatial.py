@@ -1,8 +1,9 @@
-"""Points in polygons through grids.
+"""Points in polygons through a hierarchy of grids.
 
 Every polygon is cut into the cells of a grid whose size fits its own extent, each cell keeping only the
-edges a test of a point in that cell can need. A point joins the cells on its own cell of every grid in use
-and runs the test on those few edges, inside the join condition, so no (point, edge) pair is ever a row.
+edges a test of a point in that cell can need. A key holds the level and the cell; a point has one key on
+every level in use, and one join on keys runs the test on those few edges, inside the join condition, so no
+(point, edge) pair is ever a row. The number of joins does not depend on the number of levels.
 """
 
 from __future__ import annotations
@@ -55,6 +56,25 @@ def area_cells(areas: DataFrame, key: str, cell_size: float | None = None) -> Da
     return cells.select(key, "_level", "_cx", "_cy", edges.alias("edges")).filter(F.size("edges") > 0)
 
 
+def _key(level: int, x: Column, y: Column, size: Column) -> Column:
+    return F.struct(F.lit(level).alias("_level"), _cell(x, size).alias("_cx"), _cell(y, size).alias("_cy"))
+
+
+def _matched(points: DataFrame, cells: DataFrame, x: str, y: str, how: str, broadcast: bool) -> DataFrame:
+    """``points`` with the ``_area`` of each cell of their ``_key`` whose edges they lie within."""
+    on, kept = ["_level", "_cx", "_cy"], [c for c in points.columns if c != "_key"]
+    points = points.select("*", "_key.*")
+    if broadcast:
+        cells = F.broadcast(cells)
+    else:
+        points, cells = with_salts(points, cells, on)
+        on = [*on, "_salt"]
+    p, c = points.alias("p"), cells.alias("c")
+    condition = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in on])
+    inside = condition & strictly_within(F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c.edges"))
+    return p.join(c, inside, how).select(*[F.col(f"p.{name}") for name in kept], "c._area")
+
+
 def within_join(
     points: DataFrame,
     areas: DataFrame,
@@ -71,40 +91,32 @@ def within_join(
     ``how="left"`` a point in none gives one row of nulls. Cells carry a number and edges only, and the
     other columns of an area are joined behind them. Cells are pinned and measured: they are broadcast
     below ``max_broadcast_edges``, otherwise both sides are shuffled by cell with the crowded cells salted.
-    There is one join per grid in use, so few for areas of like extent.
+    There is one join for all levels; with ``how="left"`` points are then numbered in a table, and one more
+    join by number attaches what was found.
     """
     names = [c for c in areas.columns if c != "geometry"]
     numbered = pin(areas.filter(is_valid(F.col("geometry"))).withColumn("_area", F.monotonically_increasing_id()), "areas")
     in_cell = F.aggregate("edges", F.lit(0), lambda acc, edges: acc + F.size(edges))
-    cells, counted = pin_measured(area_cells(numbered, "_area", cell_size), "area-cells", n_edges=F.sum(in_cell))
-    levels = sorted(r[0] for r in cells.select("_level").distinct().collect())  # powers of STEP
-    broadcast = counted["n_edges"] <= max_broadcast_edges
-
-    def on_grid(level: int, how: str, left: DataFrame) -> DataFrame:
-        size = F.lit(cell_size or float(STEP) ** level)
-        located = left.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
-        grid, on = cells.filter(F.col("_level") == level).drop("_level"), ["_cx", "_cy"]
-        if broadcast:
-            grid = F.broadcast(grid)
-        else:
-            located, grid = with_salts(located, grid, on)
-            on = [*on, "_salt"]
-        p, c = located.alias("p"), grid.alias("c")
-        condition = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"c.{k}") for k in on])
-        inside = condition & strictly_within(F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c.edges"))
-        kept = [F.col(f"p.{name}") for name in left.columns]
-        return p.join(c, inside, how).select(*kept, *([] if how == "left_anti" else ["c._area"]))
-
-    if how == "left" and len(levels) == 1:
-        joined = on_grid(levels[0], "left", points)
+    cells, counted = pin_measured(
+        area_cells(numbered, "_area", cell_size), "area-cells", n_edges=F.sum(in_cell), levels=F.collect_set("_level")
+    )
+    levels = sorted(counted["levels"] or [])  # powers of STEP
+    keep, broadcast = how == "left", counted["n_edges"] <= max_broadcast_edges
+    keys = F.array(*[_key(level, F.col(x), F.col(y), F.lit(cell_size or float(STEP) ** level)) for level in levels])
+    if not levels:
+        none = points.withColumn("_area", F.lit(None).cast("long"))
+        joined = none if keep else none.limit(0)
+    elif len(levels) == 1:
+        # One key needs no explosion, and the join itself keeps points without an area.
+        joined = _matched(points.withColumn("_key", F.get(keys, F.lit(0))), cells, x, y, how, broadcast)
+    elif how == "inner":
+        joined = _matched(points.withColumn("_key", F.explode(keys)), cells, x, y, how, broadcast)
     else:
-        parts = [on_grid(level, "inner", points) for level in levels]
-        if how == "left" or not levels:
-            rest = points if how == "left" else points.limit(0)
-            for level in levels:
-                rest = on_grid(level, "left_anti", rest)
-            parts.append(rest.withColumn("_area", F.lit(None).cast("long")))
-        joined = reduce(DataFrame.unionAll, parts)
+        # Points are numbered and met by their place alone; one more join attaches what was found.
+        source = pin(points.withColumn("_point", F.monotonically_increasing_id()), "points")
+        placed = source.select("_point", x, y, F.explode(keys).alias("_key"))
+        found = _matched(placed, cells, x, y, "inner", broadcast).select("_point", "_area")
+        joined = source.join(found, "_point", "left")
     described = numbered.select("_area", *[F.col(name).alias(f"_of_{i}") for i, name in enumerate(names)])
     return joined.join(described, "_area", how).select(
         *[joined[name] for name in points.columns], *[F.col(f"_of_{i}").alias(name) for i, name in enumerate(names)]
