@@ -15,9 +15,9 @@ from dwellrank.plans.connectivity import connectivity_scores
 from dwellrank.plans.events import events_by_category, events_scores
 from dwellrank.plans.geometry import area_geometry
 from dwellrank.plans.listings import value_scores
-from dwellrank.plans.mart import stay_score_mart
+from dwellrank.plans.mart import mart_checks, stay_score_mart
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots
-from dwellrank.session import scratch_path
+from dwellrank.session import pin, scratch_path
 from dwellrank.sources import sinks
 from dwellrank.sources.documents import flatten_events, merge_conditions, read_event_search
 from dwellrank.sources.feed import read_feed, stop_updates
@@ -107,3 +107,52 @@ def job_raw_events(t: Inputs) -> DataFrame:
     sinks.replace_csv(events, path)
     stored = read_csv(t.spark, path, schemas.EVENTS)
     return stored.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@query(SNAPSHOT)
+def series_rerun(t: Inputs) -> DataFrame:
+    """The series after commits of one half of the feeds, of all, and of all once more."""
+    rows = city_snapshots(city_counters(read_feed(t.spark, land_json(t.feed, "feed"))), feed_time())
+    path, day = scratch_path(t.spark, "series"), F.date_from_unix_date(F.floor(F.col("feed_timestamp") / 86400).cast("int"))
+    for part in (rows.filter(F.col("feed_timestamp") / 86400 % 2 == 0), rows, rows):
+        sinks.commit_series(part, path, schemas.PUNCTUALITY, ["feed_timestamp"], day)
+    return comparable(sinks.read_series(t.spark, path, schemas.PUNCTUALITY))
+
+
+@query("select * from v_conditions")
+def series_rerun_conditions(t: Inputs) -> DataFrame:
+    """The conditions of all places, committed twice, by place and time."""
+    rows = merge_conditions(t.weather, t.air_quality)
+    path = scratch_path(t.spark, "conditions-series")
+    for _ in range(2):
+        sinks.commit_series(rows, path, schemas.CONDITIONS_KEYED, ["location", "observed"], F.col("observed"))
+    return sinks.read_series(t.spark, path, schemas.CONDITIONS_KEYED).drop("snapshot_time")
+
+
+@query(MART)
+def publish_after_checks(t: Inputs) -> DataFrame:
+    """The published mart after a second one with doubled areas failed its checks: table and folder are as they were."""
+    mart = pin(stay_score_mart(*mart_inputs(t)), "mart")
+    path = scratch_path(t.spark, "published-mart")
+    table = f"mart_{path[-32:]}"
+    sinks.publish(mart, mart_checks, path, table)
+    try:
+        sinks.publish(mart.unionByName(mart), mart_checks, path, table)
+    except sinks.ChecksFailed:
+        stored = pin(t.spark.table(table), "mart-table")
+        sinks.drop_table(t.spark, table)
+        both = stored.intersect(t.spark.read.schema(mart.schema).parquet(path))
+        return both.select(*mart.columns)
+    raise AssertionError("a mart with doubled areas was published")
+
+
+@query("select * from v_value")
+def sink_catalog_table(t: Inputs) -> DataFrame:
+    """A score table published in the catalog, replaced by itself, read back, and dropped."""
+    scores = pin(value_scores(t.listings), "value")
+    table = f"value_{scratch_path(t.spark, 'x')[-32:]}"
+    for _ in range(2):
+        sinks.publish(scores, table=table)
+    stored = pin(t.spark.table(table), "value-table")
+    sinks.drop_table(t.spark, table)
+    return stored

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from acceptance.registry import query
 from acceptance.views import Inputs, half_up
-from dwellrank.functions.scalars import utc_instant
+from dwellrank.functions.scalars import station_or_null, utc_instant
 from dwellrank.operators.asof import asof_join
 from dwellrank.operators.joins import station_areas
+from dwellrank.operators.skew import join_lookup
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, delays_with_area
 from dwellrank.plans.punctuality import feed_profile as profile
 from dwellrank.schemas import STOP_LOOKUP
@@ -276,3 +277,36 @@ BY_FEED_AND_AREA = (
 def punctuality_by_feed_and_area(t: Inputs) -> DataFrame:
     feed = read_feed(t.spark, land_json(t.feed, "feed"))
     return area_punctuality(stop_updates(feed), t.lookup).drop("snapshot_time")
+
+
+@query(SNAPSHOT)
+def stream_replay(t: Inputs) -> DataFrame:
+    """The stream run again from the start, as when its state is lost: every landed file still counts once."""
+    landed, city = land_json(t.feed, "feed"), scratch_path(t.spark, "city-counters")
+    for _ in range(2):
+        run_counters(t.spark, landed, scratch_path(t.spark, "stream-state"), city, max_files=3)
+    return comparable(read_city_snapshots(t.spark, city, feed_time()))
+
+
+@query("select event_id, station, neighbourhood, delay from v_area_delays")
+def join_lookup_split(t: Inputs) -> DataFrame:
+    """The lookup join with a lookup too large to broadcast: stations with many updates are split off."""
+    keyed = t.delays.withColumn("station", station_or_null(F.col("stop_id")))
+    joined = join_lookup(keyed, station_areas(t.lookup), "station", max_broadcast_rows=0)
+    return joined.select("event_id", "station", "neighbourhood", "delay")
+
+
+@query("select doc_id, md5(text) as digest from documents")
+def src_csv_line_breaks(t: Inputs) -> DataFrame:
+    """All texts through quoted, gzipped files: line breaks, quotes and blanks come back as they were."""
+    path = scratch_path(t.spark, "texts-csv-gz")
+    sinks.replace_csv(t.table("documents").select("doc_id", "text"), path, compression="gzip", rows_per_file=1_000)
+    return read_multiline_csv(t.spark, path, "doc_id bigint, text string").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("select * from v_lookup")
+def src_csv_reordered_headers(t: Inputs) -> DataFrame:
+    """Columns in another order and among others are found by their names."""
+    path = scratch_path(t.spark, "reordered-csv")
+    sinks.replace_csv(t.lookup.select(F.lit("x").alias("extra"), "neighbourhood", "stop_id"), path)
+    return read_csv(t.spark, path, STOP_LOOKUP)

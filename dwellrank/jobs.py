@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellrank import schemas
@@ -21,11 +21,14 @@ from dwellrank.plans.geometry import area_geometry, area_geometry_from_text, are
 from dwellrank.plans.listings import clean_listings, room_type_breakdown, value_scores
 from dwellrank.plans.mart import (
     area_type_counts,
+    connectivity_checks,
+    events_checks,
     headline_figures,
     mart_checks,
     price_map,
     ranked_detail,
     stay_score_mart,
+    value_checks,
 )
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, feed_profile
 from dwellrank.session import build_session, pin
@@ -33,6 +36,7 @@ from dwellrank.sources import sinks
 from dwellrank.sources.documents import (
     flatten_events,
     merge_conditions,
+    observation_time,
     read_air_quality,
     read_event_search,
     read_weather,
@@ -44,6 +48,14 @@ from dwellrank.streaming.punctuality import read_area_snapshots, read_city_snaps
 Paths = dict[str, str]
 
 
+def _publish(df: DataFrame, output: str, args, check: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replace a model's directory table, and its catalog table where ``--table`` names one, if its checks pass."""
+    try:
+        sinks.publish(df, check, output, args.table)
+    except sinks.ChecksFailed as failed:
+        raise SystemExit(f"{args.job} {failed}") from failed
+
+
 def clean_listings_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     raw = read_multiline_csv(spark, paths["listings"], schemas.RAW_LISTINGS, args.partitions)
     sinks.replace_csv(clean_listings(raw), output)
@@ -54,11 +66,11 @@ def _clean(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def value_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(value_scores(_clean(spark, paths), args.min_listings), output)
+    _publish(value_scores(_clean(spark, paths), args.min_listings), output, args, value_checks)
 
 
 def room_types_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(room_type_breakdown(_clean(spark, paths)), output)
+    _publish(room_type_breakdown(_clean(spark, paths)), output, args)
 
 
 def _transit(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
@@ -71,11 +83,11 @@ def _transit(spark: SparkSession, paths: Paths) -> tuple[DataFrame, DataFrame]:
 def connectivity_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     areas = read_csv(spark, paths["areas"], schemas.AREA_SIZES)
     transform = "log1p" if args.log_density else None
-    sinks.replace(connectivity_scores(*_transit(spark, paths), areas, density_transform=transform), output)
+    _publish(connectivity_scores(*_transit(spark, paths), areas, density_transform=transform), output, args, connectivity_checks)
 
 
 def hours_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(departures_by_hour(*_transit(spark, paths)), output)
+    _publish(departures_by_hour(*_transit(spark, paths)), output, args)
 
 
 def raw_events_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -93,15 +105,15 @@ def _events_and_areas(spark: SparkSession, paths: Paths, args) -> tuple[DataFram
 
 
 def events_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(events_scores(*_events_and_areas(spark, paths, args)), output)
+    _publish(events_scores(*_events_and_areas(spark, paths, args)), output, args, events_checks)
 
 
 def categories_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(events_by_category(*_events_and_areas(spark, paths, args)), output)
+    _publish(events_by_category(*_events_and_areas(spark, paths, args)), output, args)
 
 
 def geometry_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(area_geometry(_areas(spark, paths, args)), output)
+    _publish(area_geometry(_areas(spark, paths, args)), output, args)
 
 
 def geometry_text_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -118,14 +130,20 @@ def stop_lookup_job(spark: SparkSession, paths: Paths, output: str, args) -> Non
     sinks.replace_csv(stop_lookup(stops, _areas(spark, paths, args)), output)
 
 
+def _feed_day() -> Column:
+    return F.date_from_unix_date(F.floor(F.col("feed_timestamp") / 86400).cast("int"))
+
+
 def punctuality_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.append(city_snapshots(city_counters(read_feed(spark, paths["feed"]))), output, schemas.PUNCTUALITY)
+    """The city's punctuality per feed; a feed that the series holds is not added again."""
+    rows = city_snapshots(city_counters(read_feed(spark, paths["feed"])))
+    sinks.commit_series(rows, output, schemas.PUNCTUALITY, ["feed_timestamp"], _feed_day())
 
 
 def area_punctuality_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     lookup = read_csv(spark, paths["lookup"], schemas.STOP_LOOKUP)
     rows = area_punctuality(stop_updates(read_feed(spark, paths["feed"])), lookup)
-    sinks.append(rows, output, schemas.AREA_PUNCTUALITY)
+    sinks.commit_series(rows, output, schemas.AREA_PUNCTUALITY_KEYED, ["feed_timestamp", "neighbourhood"], _feed_day())
 
 
 def punctuality_stream_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -161,11 +179,11 @@ def headline_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
 
 
 def area_types_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(area_type_counts(spark.read.parquet(paths["mart"])), output)
+    _publish(area_type_counts(spark.read.parquet(paths["mart"])), output, args)
 
 
 def ranked_detail_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
-    sinks.replace(ranked_detail(spark.read.parquet(paths["mart"]), spark.read.parquet(paths["value"])), output)
+    _publish(ranked_detail(spark.read.parquet(paths["mart"]), spark.read.parquet(paths["value"])), output, args)
 
 
 def price_map_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
@@ -178,19 +196,20 @@ def conditions_job(spark: SparkSession, paths: Paths, output: str, args) -> None
     air = read_air_quality(spark, paths["air_quality"], args.place)
     older = F.make_dt_interval(mins=F.lit(args.tolerance_minutes)) if args.tolerance_minutes is not None else None
     merged = merge_conditions(weather, air, tolerance=older)
-    sinks.append(merged, output, schemas.CONDITIONS)
+    day = F.to_date(observation_time(F.col("observed")))
+    sinks.commit_series(merged, output, schemas.CONDITIONS_KEYED, ["location", "observed"], day)
 
 
 def mart_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """The mart replaces the one before only after its checks passed."""
     scores = [spark.read.parquet(paths[name]) for name in ("value", "connectivity", "events")]
     mart = stay_score_mart(*scores, weights=tuple(args.weights))
-    counted = sinks.replace_with_metrics(mart, output, {"areas": F.count(F.lit(1)), "best": F.max("stay_score")})
+    metrics = {"areas": F.count(F.lit(1)), "best": F.max("stay_score")}
+    try:
+        counted = sinks.publish(mart, mart_checks, output, args.table, metrics)
+    except sinks.ChecksFailed as failed:
+        raise SystemExit(f"mart {failed}") from failed
     print(f"mart: {counted['areas']} areas, best score {counted['best']}")
-    if args.table:
-        sinks.replace_table(spark.read.parquet(output), args.table)
-    failures = mart_checks(spark.read.parquet(output)).filter(F.col("failures") > 0).collect()
-    if failures:
-        raise SystemExit(f"mart checks failed: {failures}")
 
 
 JOBS: dict[str, Callable] = {
@@ -232,7 +251,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--geojson-lines", action="store_true", help="one GeoJSON document per line")
     parser.add_argument("--partitions", type=int, help="partitions after reading files one task each")
     parser.add_argument("--max-files", type=int, help="landed files of a micro-batch, at most")
-    parser.add_argument("--table", help="catalog table to replace with the mart as well")
+    parser.add_argument("--table", help="catalog table to replace as well")
     parser.add_argument("--place", help="location of landed conditions that name none")
     parser.add_argument("--tolerance-minutes", type=int, help="how much older than the weather an air quality may be")
     parser.add_argument("--weights", type=float, nargs=3, default=(0.5, 0.5, 0.0), metavar=("VALUE", "TRANSIT", "EVENTS"))

@@ -111,6 +111,23 @@ def mart_checks(mart: DataFrame) -> DataFrame:
     )
 
 
+def _score_checks(score: str):
+    def checks(scores: DataFrame) -> DataFrame:
+        return run_checks(scores, unique=("neighbourhood",)).unionByName(
+            scores.agg(F.count_if(~F.col(score).between(0, 100)).alias("failures")).select(
+                F.lit("in_range").alias("check"), F.lit(score).alias("column"), "failures"
+            )
+        )
+
+    checks.__doc__ = f"Failure counts of a score table: one row per area, {score} from 0 to 100 or null."
+    return checks
+
+
+value_checks = _score_checks("value_score")
+connectivity_checks = _score_checks("connectivity_score")
+events_checks = _score_checks("events_score")
+
+
 def area_type_counts(mart: DataFrame) -> DataFrame:
     return mart.groupBy("neighbourhood_type").agg(F.count("*").alias("areas"))
 

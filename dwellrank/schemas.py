@@ -67,3 +67,7 @@ CONDITIONS = (
     "snapshot_time timestamp, temperature_c double, humidity_pct double, wind_kmh double, "
     "rain_mm double, weather_code int, european_aqi double, pm2_5 double, pm10 double, ozone double"
 )
+
+# What a stored series holds beside its published columns, so that a run again can be told from news.
+AREA_PUNCTUALITY_KEYED = AREA_PUNCTUALITY + ", feed_timestamp bigint"
+CONDITIONS_KEYED = CONDITIONS + ", location string, observed string"

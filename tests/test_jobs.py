@@ -5,9 +5,9 @@ import json
 
 import pytest
 
-from dwellrank import jobs
+from dwellrank import jobs, schemas
 from dwellrank.sources.files import read_csv, read_multiline_csv
-from dwellrank.sources.sinks import drop_table, replace_csv
+from dwellrank.sources.sinks import drop_table, read_series, replace_csv
 from tests.conftest import rows
 
 HEADER = (
@@ -115,16 +115,37 @@ def test_from_files_to_the_mart(spark, city):
     assert tuple(spark.read.parquet(figures).first())[:3] == (90, 150.0, 100.0)
 
 
-def test_series_jobs_append(spark, city):
+def test_series_jobs_add_each_feed_once(spark, city):
+    """Run again, as after a failure, a series job adds nothing; a new feed adds its rows."""
+    lookup = city / "stations.csv"
+    lookup.write_text("stop_id,neighbourhood\nde:11000:1:1,A\n")
     for _ in range(2):
         series = run(spark, "punctuality", city / "punctuality", feed=city / "feed")
         conditions = run(spark, "conditions", city / "conditions", weather=city / "weather.json", air_quality=city / "air.json")
-    assert [r.pct_on_time for r in spark.read.parquet(series).collect()] == [100.0, 100.0]
-    assert [(r.rain_mm, r.ozone) for r in spark.read.parquet(conditions).collect()] == [(1.0, 2.0)] * 2
-    lookup = city / "stations.csv"
-    lookup.write_text("stop_id,neighbourhood\nde:11000:1:1,A\n")
-    areas = run(spark, "area-punctuality", city / "area-punctuality", feed=city / "feed", lookup=lookup)
-    assert [tuple(r)[:4] for r in spark.read.parquet(areas).collect()] == [("A", 1, 100.0, 30.0)]
+        areas = run(spark, "area-punctuality", city / "area-punctuality", feed=city / "feed", lookup=lookup)
+    assert [r.pct_on_time for r in spark.read.parquet(series).collect()] == [100.0]
+    assert [(r.rain_mm, r.ozone) for r in spark.read.parquet(conditions).collect()] == [(1.0, 2.0)]
+    stored = read_series(spark, areas, schemas.AREA_PUNCTUALITY)
+    assert [tuple(r)[:4] for r in stored.collect()] == [("A", 1, 100.0, 30.0)]
+    later = city / "later-feed"
+    later.mkdir()
+    text = (city / "feed" / "1.json").read_text()
+    (later / "1.json").write_text(text)
+    (later / "2.json").write_text(text.replace('"timestamp": 7', '"timestamp": 8').replace('"delay": 30', '"delay": 90'))
+    run(spark, "punctuality", city / "punctuality", feed=later)
+    found = read_series(spark, series, schemas.PUNCTUALITY).select("feed_timestamp", "pct_on_time")
+    assert rows(found) == [(7, 100.0), (8, 0.0)]
+
+
+def test_conditions_of_services_that_name_no_place(spark, city):
+    (city / "plain-weather.json").write_text(json.dumps({"current": {"time": "2024-05-01T10:15", "rain": 1.5}}))
+    (city / "plain-air.json").write_text(json.dumps({"current": {"time": "2024-05-01T10:00", "ozone": 40.0}}))
+    landed = {"weather": city / "plain-weather.json", "air_quality": city / "plain-air.json"}
+    out = run(spark, "conditions", city / "as-of", "--place", "here", "--tolerance-minutes", "60", **landed)
+    found = read_series(spark, out, schemas.CONDITIONS_KEYED).select("location", "observed", "rain_mm", "ozone")
+    assert rows(found) == [("here", "2024-05-01T10:15", 1.5, 40.0)]
+    strict = run(spark, "conditions", city / "as-of-strict", "--tolerance-minutes", "5", **landed)
+    assert rows(read_series(spark, strict, schemas.CONDITIONS).select("rain_mm", "ozone")) == [(1.5, None)]
 
 
 def test_stream_job_reads_each_file_once(spark, city):
@@ -160,5 +181,22 @@ def test_mart_job_fails_on_broken_contract(spark, tmp_path):
     spark.createDataFrame([("A", None)], "neighbourhood string, value_score double").write.parquet(str(tmp_path / "v"))
     spark.createDataFrame([("A", 1.0)], "neighbourhood string, connectivity_score double").write.parquet(str(tmp_path / "c"))
     spark.createDataFrame([("A", 1.0)], "neighbourhood string, events_score double").write.parquet(str(tmp_path / "e"))
+    scores = {"connectivity": tmp_path / "c", "events": tmp_path / "e"}
+    spark.createDataFrame([("A", 2.0)], "neighbourhood string, value_score double").write.parquet(str(tmp_path / "good"))
+    options = [tmp_path / "mart", "--table", "mart_that_stays"]
+    run(spark, "mart", *options, value=tmp_path / "good", **scores)
+    before = rows(spark.read.parquet(str(tmp_path / "mart")))
     with pytest.raises(SystemExit, match="stay_score"):
-        run(spark, "mart", tmp_path / "mart", value=tmp_path / "v", connectivity=tmp_path / "c", events=tmp_path / "e")
+        run(spark, "mart", *options, value=tmp_path / "v", **scores)
+    # What was published stays, and nothing is left of the staging.
+    assert rows(spark.read.parquet(str(tmp_path / "mart"))) == before == rows(spark.table("mart_that_stays"))
+    assert [t.name for t in spark.catalog.listTables() if "staging" in t.name or "__" in t.name] == []
+    drop_table(spark, "mart_that_stays")
+
+
+def test_score_tables_out_of_range_are_not_published(spark, city):
+    from dwellrank.plans.mart import value_checks
+
+    wrong = spark.createDataFrame([("A", 101.0), ("A", None), (None, 5.0)], "neighbourhood string, value_score double")
+    found = {(r.check, r.column): r.failures for r in value_checks(wrong).collect()}
+    assert found == {("unique", "neighbourhood"): 1, ("in_range", "value_score"): 1}
