@@ -34,24 +34,24 @@ def base_scores(rows):
 
 
 class Model:
-    """Prediction by partial matching, one symbol at a time."""
+    """Prediction by partial matching with contexts of ``ORDER`` bytes, one symbol at a time."""
 
     def __init__(self, texts):
-        self.counts = [collections.defaultdict(collections.Counter) for _ in range(3)]
+        self.counts = [collections.defaultdict(collections.Counter) for _ in range(ppm.ORDER + 1)]
         for t in texts:
             for context, symbol in self.steps(t):
-                for k in range(3):
-                    self.counts[k][context[2 - k :]][symbol] += 1
+                for k in range(ppm.ORDER + 1):
+                    self.counts[k][context[ppm.ORDER - k :]][symbol] += 1
 
     @staticmethod
     def steps(text):
-        stream = bytes([0xFE, 0xFE]) + lower(text).encode() + b"\xff"
-        return [(stream[i - 2 : i], stream[i]) for i in range(2, len(stream))]
+        stream = bytes([0xFE] * ppm.ORDER) + lower(text).encode() + b"\xff"
+        return [(stream[i - ppm.ORDER : i], stream[i]) for i in range(ppm.ORDER, len(stream))]
 
     def chance(self, context, symbol):
         p, gone = 1.0, set()
-        for k in (2, 1, 0):
-            row = {s: n for s, n in self.counts[k].get(context[2 - k :], {}).items() if s not in gone}
+        for k in range(ppm.ORDER, -1, -1):
+            row = {s: n for s, n in self.counts[k].get(context[ppm.ORDER - k :], {}).items() if s not in gone}
             if not row:
                 continue
             whole = sum(row.values()) + len(row)
@@ -101,9 +101,30 @@ def test_empty_tables_and_nothing_to_learn(spark):
 def test_every_context_is_a_distribution():
     rng = np.random.default_rng(1)
     codes = np.unique(rng.integers(0, 1 << 16, 3000) * 256 + rng.integers(0, 200, 3000))
-    logs = ppm.log_probabilities(codes, rng.integers(1, 9, len(codes))).reshape(-1, 256)
+    low = ppm.LowOrders(codes, rng.integers(1, 9, len(codes)))
+    contexts = np.append(codes[::40] >> 8, [0, 7, 65535])
+    every = ((contexts << 8)[:, None] + np.arange(256)).ravel()
     # Fewer than 256 symbols were seen, so no escape is lost.
-    assert np.allclose((10.0 ** logs.astype(np.float64)).sum(axis=1)[::97], 1, atol=1e-3)
+    assert np.allclose((10.0 ** low.logs(every)).reshape(-1, 256).sum(axis=1), 1)
+    nothing = ppm.LowOrders(codes[:0], codes[:0])
+    assert np.allclose(nothing.logs(every), -np.log10(256))
+
+
+def test_long_contexts_are_distributions():
+    """The chances of all symbols behind one context of five bytes add up to 1."""
+    rng = np.random.default_rng(2)
+    context = rng.integers(97, 100, (60, ppm.ORDER))
+    heads = np.unique((context << (8 * np.arange(ppm.ORDER - 1, -1, -1))).sum(axis=1))
+    codes = ((heads << 8)[:, None] + np.arange(256)).ravel()
+    n = np.where(codes % 256 < 103, rng.integers(0, 3, len(codes)) * (codes % 256 > 96), 0)
+    short = codes & 0xFFFFFF
+    low_codes, inverse = np.unique(short[n > 0], return_inverse=True)
+    low = ppm.LowOrders(low_codes, np.bincount(inverse, n[n > 0]))
+    ends = (codes >> 8) & 0xFFFFFF
+    for end in np.unique(ends):
+        rows = ends == end
+        sums = (10.0 ** ppm.long_logs(codes[rows], n[rows], low)).reshape(-1, 256).sum(axis=1)
+        assert np.allclose(sums, 1)
 
 
 def test_familiar_text_scores_higher(spark):
@@ -113,43 +134,14 @@ def test_familiar_text_scores_higher(spark):
     assert found[1000] > found[1001] + 10
 
 
-class LongModel(Model):
-    """The same with contexts of ``ORDER`` bytes."""
-
-    def __init__(self, texts):
-        self.counts = [collections.defaultdict(collections.Counter) for _ in range(ppm.ORDER + 1)]
-        for t in texts:
-            for context, symbol in self.steps(t):
-                for k in range(ppm.ORDER + 1):
-                    self.counts[k][context[ppm.ORDER - k :]][symbol] += 1
-
-    @staticmethod
-    def steps(text):
-        stream = bytes([0xFE] * ppm.ORDER) + lower(text).encode() + b"\xff"
-        return [(stream[i - ppm.ORDER : i], stream[i]) for i in range(ppm.ORDER, len(stream))]
-
-    def chance(self, context, symbol):
-        p, gone = 1.0, set()
-        for k in range(ppm.ORDER, -1, -1):
-            row = {s: n for s, n in self.counts[k].get(context[ppm.ORDER - k :], {}).items() if s not in gone}
-            if not row:
-                continue
-            whole = sum(row.values()) + len(row)
-            if symbol in row:
-                return p * row[symbol] / whole
-            p *= len(row) / whole
-            gone |= set(row)
-        return p / (256 - len(gone))
-
-
 @pytest.mark.parametrize("head", [ppm.PATH_HEAD, 50])
 def test_op10_long_contexts_equal_brute_force(spark, documents, as_table, monkeypatch, head):
     monkeypatch.setattr(ppm, "PATH_HEAD", head)  # with 50, most paths take the join
     rows = [(d["doc_id"], d["text"]) for d in documents if len(d["text"] or "") < 5000][:60]
     rows += [r for k, r in enumerate(AWKWARD, 1) if k != len(AWKWARD) and r[0] is not None and len(r[1] or "") < 5000 and r[0] not in dict(rows)]
-    model = LongModel([t for i, t in rows if not held_out(i)])
+    model = Model([t for i, t in rows if not held_out(i)])
     found = __spark_entry__.queries()["op10_partial_matching"](spark, as_table(rows)).collect()
-    assert {r.doc_id: r.long_score for r in found} == pytest.approx({i: model.score(t) for i, t in rows}, rel=1e-5)
+    assert {r.doc_id: r.score for r in found} == pytest.approx({i: model.score(t) for i, t in rows}, rel=1e-5)
 
 
 def test_a_repeated_passage_gets_a_shorter_code(spark):
@@ -157,4 +149,4 @@ def test_a_repeated_passage_gets_a_shorter_code(spark):
     texts = ["".join(rng.choice(list("abcdefgh"), 400)) for _ in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)) + [(100, texts[3]), (101, "".join(rng.choice(list("abcdefgh"), 400)))], "doc_id long, text string")
     found = {r.doc_id: r for r in ppm.scored(docs, F.col("doc_id") < 100).collect()}
-    assert found[100].long_score > found[101].long_score + 100 > found[100].score
+    assert found[100].score > found[101].score + 100
