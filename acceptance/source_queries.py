@@ -13,6 +13,7 @@ from dwellrank.operators.joins import station_areas
 from dwellrank.operators.skew import join_lookup
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, delays_with_area
 from dwellrank.plans.punctuality import feed_profile as profile
+from dwellrank import schemas
 from dwellrank.schemas import STOP_LOOKUP
 from dwellrank.session import scratch_path
 from dwellrank.sources import sinks
@@ -26,6 +27,7 @@ from dwellrank.sources.documents import (
 )
 from dwellrank.sources.feed import read_feed, sample_updates, stop_updates
 from dwellrank.sources.files import read_csv, read_multiline_csv
+from dwellrank.plans.versions import area_punctuality_as_of, next_versions
 from dwellrank.streaming.punctuality import (
     append_stream,
     read_area_snapshots,
@@ -33,6 +35,8 @@ from dwellrank.streaming.punctuality import (
     run_counters,
     windowed_punctuality,
 )
+from dwellrank.streaming.series import run_series
+from dwellrank.streaming.windows import read_late, read_windows, run_windows
 
 
 def land_json(df: DataFrame, label: str) -> str:
@@ -132,21 +136,21 @@ def asof_last_click(t: Inputs) -> DataFrame:
 
 
 @query("""
-    select feed_timestamp, stop_id, delay from v_trip_delays where stop_id is not null and delay is not null""")
+    select feed_timestamp, stop_id, delay from v_delays where stop_id is not null and delay is not null""")
 def nested_feed_explode(t: Inputs) -> DataFrame:
     return stop_updates(t.feed)
 
 
 @query("""
-    select feed_timestamp, count(*) as entities, count(*) filter (not only_vehicle) as trip_updates,
-           count(*) filter (only_vehicle) as vehicles,
+    select feed_timestamp, count(*) + count(*) filter (with_vehicle) as entities, count(*) as trip_updates,
+           count(*) filter (with_vehicle) as vehicles,
            any_value(delays) as delays, any_value(on_time) as on_time, any_value(late) as late, any_value(early) as early,
            any_value(max_delay_min) as max_delay_min, any_value(min_delay_min) as min_delay_min
     from v_trips join (
         select feed_timestamp, count(delay) as delays, count(*) filter (abs(delay) <= 60) as on_time,
                count(*) filter (delay > 60) as late, count(*) filter (delay < -60) as early,
                cast(floor(max(delay) / 60) as bigint) as max_delay_min, cast(floor(min(delay) / 60) as bigint) as min_delay_min
-        from v_trip_delays group by feed_timestamp) using (feed_timestamp)
+        from v_delays group by feed_timestamp) using (feed_timestamp)
     group by feed_timestamp""")
 def feed_profile(t: Inputs) -> DataFrame:
     return profile(t.feed)
@@ -156,7 +160,7 @@ def feed_profile(t: Inputs) -> DataFrame:
     select substr('trip-' || lpad(cast(user_id as varchar), 8, '0') || '-' || snapshot || '-' || chunk, 1, 25) as trip,
            cast(stop_updates as int) as stop_updates, coalesce(stop_id, '(no stop_id)') as stop_id,
            coalesce(cast(delay as varchar), '(no delay)') as delay
-    from v_trip_delays join (select feed_timestamp, chunk, user_id, stop_updates from v_trips) using (feed_timestamp, chunk, user_id)
+    from v_delays join (select feed_timestamp, chunk, user_id, stop_updates from v_trips) using (feed_timestamp, chunk, user_id)
     order by trip, stop_id, delay, stop_updates limit 15""")
 def feed_sample(t: Inputs) -> DataFrame:
     return sample_updates(t.feed)
@@ -259,7 +263,7 @@ def stream_tumbling(t: Inputs) -> DataFrame:
     )
 
 
-@query(_BY_GROUP + " and user_id % 10 <> 0 group by neighbourhood")
+@query(_BY_GROUP + " group by neighbourhood")
 def stream_static_join(t: Inputs) -> DataFrame:
     landed = land_json(t.feed, "feed")
     city, area = scratch_path(t.spark, "city-counters"), scratch_path(t.spark, "area-counters")
@@ -269,7 +273,7 @@ def stream_static_join(t: Inputs) -> DataFrame:
 
 BY_FEED_AND_AREA = (
     _BY_GROUP.replace("select neighbourhood", "select feed_timestamp, neighbourhood")
-    + " and user_id % 10 <> 0 group by feed_timestamp, neighbourhood"
+    + " group by feed_timestamp, neighbourhood"
 )
 
 
@@ -310,3 +314,81 @@ def src_csv_reordered_headers(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "reordered-csv")
     sinks.replace_csv(t.lookup.select(F.lit("x").alias("extra"), "neighbourhood", "stop_id"), path)
     return read_csv(t.spark, path, STOP_LOOKUP)
+
+
+@query(SNAPSHOT)
+def stream_state_snapshot(t: Inputs) -> DataFrame:
+    """Every feed lands in two parts, each read by a run of its own; the second one takes up the state of the first."""
+    landed, series, state = (scratch_path(t.spark, name) for name in ("feed-parts", "state-series", "stream-state"))
+    odd = F.size("entity") % 2 == 1
+    for part in (odd, ~odd):
+        t.feed.filter(part).write.mode("append").json(landed)
+        run_series(t.spark, landed, state, series, feed_time(), lateness="60 days")
+    return comparable(sinks.read_series(t.spark, series, schemas.PUNCTUALITY))
+
+
+# The days of the feed land in three parts; updates of every fifth user come one part late.
+_DAY = "(feed_timestamp // 86400 - (select min(feed_timestamp) // 86400 from v_delays))"
+_LANDED = f"select *, {_DAY} as day, least({_DAY} // 11 + case when user_id % 5 = 0 then 1 else 0 end, 2) as landing from v_delays"
+_MARKED = f"""
+    select d.*, day + 1 <= coalesce((select max(e.day) - 1e0 / 24 from ({_LANDED}) e where e.landing < d.landing), -1) as late
+    from ({_LANDED}) d"""
+
+
+def _run_parts(t: Inputs) -> str:
+    first = t.delays.agg(F.min("feed_timestamp")).first()[0] // 86400
+    day = F.floor(F.col("feed_timestamp") / 86400) - first
+    landing = F.least(F.floor(day / 11) + F.when(F.col("user_id") % 5 == 0, 1).otherwise(0), F.lit(2))
+    update = F.struct("stop_id", F.struct("delay").alias("arrival"))
+    trip = F.struct(F.col("user_id").cast("string").alias("trip_id"), F.lit("r").alias("route_id"))
+    entity = F.struct(F.struct(trip.alias("trip"), F.array(update).alias("stop_time_update")).alias("trip_update"))
+    messages = t.delays.select(
+        landing.alias("landing"), F.struct(F.col("feed_timestamp").alias("timestamp")).alias("header"), F.array(entity).alias("entity")
+    )
+    landed, state, out = (scratch_path(t.spark, name) for name in ("late-feed", "stream-state", "windows"))
+    for part in range(3):
+        messages.filter(F.col("landing") == part).drop("landing").write.mode("append").json(landed)
+        run_windows(t.spark, landed, state, out)
+    return out
+
+
+@query(f"""
+    select strftime(make_timestamp(feed_timestamp * 1000000), '%Y-%m-%d') as day, count(*) as updates,
+           {half_up('100 * count(*) filter (abs(delay) <= 60) / count(*)', 1)} as pct_on_time
+    from ({_MARKED}) where not late and stop_id is not null and delay > -7200 and delay < 7200 group by feed_timestamp""")
+def stream_windows_by_header(t: Inputs) -> DataFrame:
+    """Windows by the time of the message header, without the updates that came behind the watermark."""
+    return read_windows(t.spark, _run_parts(t)).select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "updates", "pct_on_time")
+
+
+@query(f"""
+    select strftime(make_timestamp(feed_timestamp * 1000000), '%Y-%m-%d') as day, stop_id, count(*) as updates
+    from ({_MARKED}) where late and stop_id is not null and delay is not null group by all""")
+def stream_late_rows(t: Inputs) -> DataFrame:
+    """The updates behind the watermark, kept aside and counted."""
+    late = read_late(t.spark, _run_parts(t))
+    return late.groupBy(F.date_format("event_time", "yyyy-MM-dd").alias("day"), "stop_id").agg(F.count("*").alias("updates"))
+
+
+_MOVED = r"""
+    select d.feed_timestamp, case when moves and feed_timestamp >= 1705276800 then other else s.neighbourhood end as neighbourhood, delay
+    from (select *, nullif(regexp_extract(stop_id, '^(de:\d+:\d+)', 1), '') as station from v_delays) d
+    join (select s.station, s.neighbourhood, n.n_name as other, cast(split_part(s.station, ':', 3) as bigint) % 3 = 0 as moves
+          from v_station_areas s
+          join nation m on m.n_name = s.neighbourhood join nation n on n.n_nationkey = (m.n_nationkey + 1) % 25) s using (station)"""
+
+
+@query(f"""
+    select neighbourhood, count(*) as updates, {half_up('100 * count(*) filter (abs(delay) <= 60) / count(*)', 1)} as pct_on_time,
+           {half_up('sum(delay) / count(*)', 1)} as avg_delay_seconds
+    from ({_MOVED}) where delay > -7200 and delay < 7200 group by neighbourhood""")
+def lookup_as_of_version(t: Inputs) -> DataFrame:
+    """Every third station moves to another area on 15 January: its updates count in each area for their time."""
+    nations = t.table("nation").select("n_nationkey", F.col("n_name").alias("neighbourhood"))
+    following = nations.select(((F.col("n_nationkey") + 24) % 25).alias("n_nationkey"), F.col("neighbourhood").alias("other")).join(nations, "n_nationkey")
+    before = station_areas(t.lookup)
+    moves = F.get(F.split("station", ":"), F.lit(2)).cast("bigint") % 3 == 0
+    after = before.join(following, "neighbourhood").select("station", F.when(moves, F.col("other")).otherwise(F.col("neighbourhood")).alias("neighbourhood"))
+    first = next_versions(None, before, F.timestamp_seconds(F.lit(0)))
+    versions = next_versions(first, after, F.timestamp_seconds(F.lit(1705276800)))
+    return area_punctuality_as_of(t.delays, versions, keys=()).drop("snapshot_time")

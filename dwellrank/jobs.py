@@ -31,6 +31,7 @@ from dwellrank.plans.mart import (
     value_checks,
 )
 from dwellrank.plans.punctuality import area_punctuality, city_counters, city_snapshots, feed_profile
+from dwellrank.plans.versions import VERSIONS, area_punctuality_as_of, next_versions
 from dwellrank.session import build_session, pin
 from dwellrank.sources import sinks
 from dwellrank.sources.documents import (
@@ -44,6 +45,8 @@ from dwellrank.sources.documents import (
 from dwellrank.sources.feed import read_feed, sample_updates, stop_updates
 from dwellrank.sources.files import read_csv, read_geojson, read_multiline_csv
 from dwellrank.streaming.punctuality import read_area_snapshots, read_city_snapshots, run_counters
+from dwellrank.streaming.series import run_series
+from dwellrank.streaming.windows import read_late, read_windows, run_windows
 
 Paths = dict[str, str]
 
@@ -153,6 +156,33 @@ def punctuality_stream_job(spark: SparkSession, paths: Paths, output: str, args)
     run_counters(spark, paths["feed"], f"{output}/state", f"{output}/city", f"{output}/area", stations, args.max_files)
 
 
+def state_series_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """The city series under ``output/series``, kept by a stream whose state lies in ``output/state``."""
+    run_series(spark, paths["feed"], f"{output}/state", f"{output}/series", max_files=args.max_files)
+
+
+def windows_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """Windows by header time and the late updates, under ``output``; the windows are published as ``output/windows``."""
+    run_windows(spark, paths["feed"], f"{output}/state", output, args.window, args.lateness, args.max_files)
+    sinks.replace(read_windows(spark, output, args.lateness), f"{output}/windows")
+    print(f"late updates: {read_late(spark, output).count()}")
+
+
+def lookup_versions_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """The station versions after the lookup given; ``versions`` names those before it, if there are any."""
+    before = spark.read.schema(VERSIONS).parquet(paths["versions"]) if "versions" in paths else None
+    stations = station_areas(read_csv(spark, paths["lookup"], schemas.STOP_LOOKUP))
+    at = F.timestamp_seconds(F.lit(args.valid_from)) if args.valid_from is not None else F.current_timestamp()
+    sinks.replace(pin(next_versions(before, stations, at), "versions"), output)
+
+
+def area_as_of_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
+    """The area series with each update in the area its station had then."""
+    versions = spark.read.schema(VERSIONS).parquet(paths["versions"])
+    rows = area_punctuality_as_of(stop_updates(read_feed(spark, paths["feed"])), versions)
+    sinks.commit_series(rows, output, schemas.AREA_PUNCTUALITY_KEYED, ["feed_timestamp", "neighbourhood"], _feed_day())
+
+
 def punctuality_series_job(spark: SparkSession, paths: Paths, output: str, args) -> None:
     """The published city series from the counters of a stream, replacing the one before."""
     series = read_city_snapshots(spark, f"{paths['stream']}/city")
@@ -228,6 +258,10 @@ JOBS: dict[str, Callable] = {
     "punctuality": punctuality_job,
     "area-punctuality": area_punctuality_job,
     "punctuality-stream": punctuality_stream_job,
+    "punctuality-state-series": state_series_job,
+    "punctuality-windows": windows_job,
+    "lookup-versions": lookup_versions_job,
+    "area-punctuality-as-of": area_as_of_job,
     "punctuality-series": punctuality_series_job,
     "area-series": area_series_job,
     "feed-profile": feed_profile_job,
@@ -252,6 +286,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--partitions", type=int, help="partitions after reading files one task each")
     parser.add_argument("--max-files", type=int, help="landed files of a micro-batch, at most")
     parser.add_argument("--table", help="catalog table to replace as well")
+    parser.add_argument("--window", default="1 day", help="length of a tumbling window")
+    parser.add_argument("--lateness", default="1 hour", help="how long a window waits for its updates")
+    parser.add_argument("--valid-from", type=int, help="epoch seconds from which a lookup holds; now by default")
     parser.add_argument("--place", help="location of landed conditions that name none")
     parser.add_argument("--tolerance-minutes", type=int, help="how much older than the weather an air quality may be")
     parser.add_argument("--weights", type=float, nargs=3, default=(0.5, 0.5, 0.0), metavar=("VALUE", "TRANSIT", "EVENTS"))

@@ -52,15 +52,8 @@ def read_series(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema + f", {PART} string").parquet(path).select(*names)
 
 
-def commit_series(df: DataFrame, path: str, schema: str, keys: list[str], part: Column) -> int:
-    """Add the rows of ``df`` whose key a series does not hold yet; gives their number.
-
-    Run again with the same rows, as after a failure, it adds nothing: the first row of a key stays, and a
-    write that broke off is made whole. ``part`` is computed from the keys alone, such as a day, and names the
-    partition a key lies in. Only partitions with new rows are read and replaced, each as a whole, so readers
-    never see a part of a commit twice. Of rows of ``df`` with one key the smallest is taken; null keys are
-    keys like any other, and a null part is the partition ``none``.
-    """
+def _arrived(df: DataFrame, path: str, schema: str, keys: list[str], part: Column) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The rows of ``df`` as a table, one per key, and what the series holds in the partitions they lie in."""
     spark = df.sparkSession
     full = schema + f", {PART} string"
     # An empty commit lays the folder, so the series can be read before its first row.
@@ -70,21 +63,46 @@ def commit_series(df: DataFrame, path: str, schema: str, keys: list[str], part:
     one = conform(df.withColumn(PART, F.coalesce(part.cast("string"), F.lit("none"))), full)
     one = one.groupBy(*keys, PART).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, PART, "_row.*")
     arrived = pin(one.select(*names, PART), "series-arrived")
-    stored = spark.read.schema(full).parquet(path)
     touched = F.broadcast(arrived.select(PART).distinct())  # one row per partition that the commit meets
-    there = stored.join(touched, PART, "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    fresh, counted = pin_measured(arrived.join(there, same, "left_anti"), "series-fresh", n=F.count(F.lit(1)))
+    return arrived, spark.read.schema(full).parquet(path).join(touched, PART, "left_semi").select(*names, PART), names
+
+
+def _without_keys(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose key is not among those of ``others``; null keys are keys like any other."""
+    named = others.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return rows.join(named, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+
+
+def _replace_parts(whole: DataFrame, path: str) -> None:
+    """Put whole partitions in place of those of the series; what they hold is written aside first, as it is read from there."""
+    pin(whole, "series-whole").hint("rebalance", PART).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(PART).parquet(path)
+
+
+def commit_series(df: DataFrame, path: str, schema: str, keys: list[str], part: Column) -> int:
+    """Add the rows of ``df`` whose key a series does not hold yet; gives their number.
+
+    Run again with the same rows, as after a failure, it adds nothing: the first row of a key stays, and a
+    write that broke off is made whole. ``part`` is computed from the keys alone, such as a day, and names the
+    partition a key lies in. Only partitions with new rows are read and replaced, each as a whole, so readers
+    never see a part of a commit twice. Of rows of ``df`` with one key the smallest is taken; null keys are
+    keys like any other, and a null part is the partition ``none``.
+    """
+    arrived, stored, names = _arrived(df, path, schema, keys, part)
+    fresh, counted = pin_measured(_without_keys(arrived, stored, keys), "series-fresh", n=F.count(F.lit(1)))
     if counted["n"]:
         changed = F.broadcast(fresh.select(PART).distinct())
-        whole = stored.join(changed, PART, "left_semi").select(*names, PART).unionByName(fresh)
-        # Partitions are replaced, so what they hold is written aside first.
-        pin(whole, "series-whole").hint("rebalance", PART).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(PART).parquet(path)
+        _replace_parts(stored.join(changed, PART, "left_semi").select(*names, PART).unionByName(fresh), path)
     return counted["n"]
 
 
+def merge_series(df: DataFrame, path: str, schema: str, keys: list[str], part: Column) -> None:
+    """Put the rows of ``df`` into a series, in place of those of the same keys; ``part`` as in ``commit_series``."""
+    arrived, stored, _ = _arrived(df, path, schema, keys, part)
+    _replace_parts(_without_keys(stored, arrived, keys).unionByName(arrived), path)
+
+
 class ChecksFailed(Exception):
     """Checks of a staged table found failures; what was published before is untouched."""
 
