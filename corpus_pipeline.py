@@ -1,16 +1,17 @@
 """A pipeline that turns raw documents into training text, one operator per stage.
 
-Every stage takes all that its predecessor kept and decides by the operator's own rules. Rows with a null
-doc_id pass stages that name documents by id.
+Every stage takes all that its predecessor kept and decides by the operator's own rules. Decisions are made
+for texts and for rows, never for a doc_id alone: rows that share a doc_id, or have none, are rows of their own.
+Of equal rows the smallest in order of all columns stays, which is any of them when they are equal throughout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import crc_of_id, table
-from dwellrank.llm.decontamination import clean_documents
+from dwellrank.llm.common import crc_of_id, table, whole_text
+from dwellrank.llm.decontamination import find_passages
 from dwellrank.llm.exact_dedup import duplicate_classes, older_half
 from dwellrank.llm.jaccard_join import near_duplicate_classes
 from dwellrank.llm.language_id import UNKNOWN, fit, identify
@@ -18,29 +19,68 @@ from dwellrank.llm.queries import tokenizer_file
 from dwellrank.llm.sentencepiece_scan import encode
 from dwellrank.session import pin
 
+LEAST_SCORE = 0.34  # a best language with no more than a third of the probability is none
+
+
+def _text_key() -> Column:
+    return F.sha2(whole_text(), 256)
+
+
+def _one_row_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with equal ``keys`` the smallest; tasks keep one row per key before anything moves."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_least")).select("_least.*")
+
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language stay; those without any letter go. The network learns as in its query."""
+    """Documents with a language stay; those without any letter go, and those which the network gives no
+    language more than ``LEAST_SCORE``. The network learns as in its query; where there is nothing to learn
+    from, every text with a letter stays.
+    """
     net = fit(docs, F.pmod(crc_of_id(), F.lit(4)) != 2)
-    known = identify(docs, net).filter(F.col("lang_pred") != UNKNOWN) if net else docs.filter(F.col("text").rlike(r"\p{L}"))
-    return known.select(*docs.columns)
+    if net is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    judged = identify(docs.withColumnsRenamed(own), net)
+    known = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > LEAST_SCORE)).drop("lang_pred", "score")
+    return known.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest doc_id stays."""
-    copies = duplicate_classes(docs, older_half()).filter("not kept and doc_id is not null").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti")
+    """Of documents with equal texts, one row with the largest doc_id stays; ids come before null."""
+    copies = duplicate_classes(docs.select("doc_id", "text"), older_half()).filter("group_size > 1")
+    groups = pin(copies.select(F.col("text_sha256").alias("_key"), "keep_id").distinct(), "copied-texts")
+    keyed = docs.withColumn("_key", _text_key())
+    single = keyed.join(groups, "_key", "left_anti").select(*docs.columns)
+    ours = groups.withColumnRenamed("keep_id", "_keep")
+    kept = keyed.join(ours, "_key").filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
+    return single.unionByName(_one_row_each(kept.drop("_keep"), ["_key"]).select(*docs.columns))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect, the one with the smallest doc_id stays."""
-    copies = near_duplicate_classes(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(copies, "doc_id", "left_anti")
+    """Of documents that links connect, one row with the smallest doc_id stays; ids come before null."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(whole_text()).alias("text"))
+    classes = near_duplicate_classes(docs.select(key.alias("doc_id"), "text"))
+    named = pin(
+        classes.groupBy(F.col("doc_id").alias("_named"))
+        .agg(F.any_value("component_id").alias("first"), F.count("*").alias("rows"), F.any_value("n_shingles").alias("n_shingles"))
+        .withColumn("stays", F.col("_named") == F.col("first"))
+        .filter("not stays or rows > 1 and n_shingles > 0"),
+        "near-classes",
+    )
+    # Rows whose key is not the first of its class go, and of equal rows with the first key all but one.
+    keyed = docs.withColumn("_key", key)
+    same = F.col("_key") == F.col("_named")
+    left = keyed.join(named.select("_named"), same, "left_anti").select(*docs.columns)
+    again = keyed.join(named.filter("stays").select("_named"), same, "left_semi")
+    return left.unionByName(_one_row_each(again, ["_key"]).select(*docs.columns))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a passage of the benchmark was found go."""
-    return clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    """Documents in which a passage of the benchmark was found go, whatever their doc_id."""
+    texts = docs.select(_text_key().alias("doc_id"), "text")
+    found = pin(find_passages(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_key")).distinct(), "leaked-texts")
+    return docs.withColumn("_key", _text_key()).join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
