@@ -4,7 +4,7 @@ import corpus_pipeline
 from dwellrank.llm import queries
 from dwellrank.llm.sentencepiece_scan import model
 from tests.llm import test_leaks, test_near
-from tests.llm.conftest import AWKWARD, SMALL
+from tests.llm.conftest import AWKWARD, SMALL, WIDE
 
 PIECES = queries.tokenizer_file("piece_bpe_32k.model")
 
@@ -32,7 +32,7 @@ def test_run_equals_plain_python(spark):
 
 
 def test_stages_take_awkward_texts_and_keep_columns(spark, as_table):
-    folder = as_table([r for r in AWKWARD if r != AWKWARD[-1]])
+    folder = as_table(AWKWARD)
     spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     docs = docs.selectExpr("*", "'z' as node", "1 as component_id", "2 as score", "3 as size", "4 as ids")
@@ -40,8 +40,50 @@ def test_stages_take_awkward_texts_and_keep_columns(spark, as_table):
         after = stage(spark, docs, folder)
         assert after.columns == docs.columns
         docs = after
-    left = collections.Counter(r.doc_id for r in docs.collect())
+    rows = docs.collect()
+    left = collections.Counter(r.doc_id for r in rows)
     assert left == {4: 1, 5: 1, 6: 1, 7: 1, 9: 1, 10: 1, 11: 1, 12: 1, None: 1}
+    assert {(r.node, r.component_id, r.score, r["size"], r.ids) for r in rows} == {("z", 1, 2, 3, 4)}
     _, last = corpus_pipeline.STAGES[-1]
     assert last(spark, docs, folder).count() == sum(left.values())
     assert last(spark, docs.limit(0), folder).count() == 0
+
+
+def kept(spark, stage, rows, folder=None):
+    found = dict(corpus_pipeline.STAGES)[stage](spark, spark.createDataFrame(rows, WIDE), folder)
+    return sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+
+
+def test_rows_that_share_an_id_are_decided_each_by_its_text(spark):
+    rows = [(5, "A"), (5, "B"), (7, "B"), (None, "C"), (None, "C"), (3, "C"), (None, "D"), (None, "D"), (8, "E"), (8, "E"), (9, None), (9, "")]
+    rows = [(*r, "en", "s", k) for k, r in enumerate(rows)]
+    # A has no copy; B stays with 7, C with 3; one of the rows without an id stays, and one of equal rows.
+    found = kept(spark, "exact_dedup", rows)
+    assert [(i, t or "") for i, t in found] == sorted([(5, "A"), (7, "B"), (3, "C"), (None, "D"), (8, "E"), (9, "")], key=repr)
+
+
+def test_near_copies_that_share_an_id(spark):
+    words = [f"w{k}" for k in range(200)]
+    one, two, other = " ".join(words), " ".join([*words[:199], "new"]), " ".join(f"x{k}" for k in range(50))
+    rows = [(5, one), (5, two), (5, other), (None, one), (4, two), (4, two), (6, ""), (6, ""), (None, other + " y")]
+    rows = [(*r, "en", "s", k) for k, r in enumerate(rows)]
+    assert kept(spark, "jaccard_join", rows) == sorted([(4, two), (5, other), (6, ""), (6, "")], key=repr)
+    # Without any id one of them stays all the same.
+    rows = [(None, one, "en", "s", k) for k in range(3)] + [(None, two, "en", "s", 3)]
+    assert len(kept(spark, "jaccard_join", rows)) == 1
+
+
+def test_passages_in_rows_that_share_an_id_or_have_none(spark, as_table):
+    passage = " ".join(f"p{k}" for k in range(40))
+    folder = as_table([])
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = [(1, passage), (1, "clean text of the same id"), (None, "start " + passage + " end"), (None, "clean without an id")]
+    rows = [(*r, "en", "s", k) for k, r in enumerate(rows)]
+    assert kept(spark, "decontamination", rows, folder) == sorted([(1, "clean text of the same id"), (None, "clean without an id")], key=repr)
+
+
+def test_language_stage_keeps_all_that_has_letters(spark, documents):
+    """Held-out rows, of all languages and short ones among them: none with a letter is lost."""
+    rows = [(d["doc_id"], d["text"], d["lang"], d["source"], d["n_chars"]) for d in documents]
+    found = kept(spark, "language_id", rows)
+    assert found == sorted(((r[0], r[1]) for r in rows if r[1] and any(c.isalpha() for c in r[1])), key=repr)
