@@ -116,8 +116,8 @@ def group_total_attach(t: Inputs) -> DataFrame:
 def ratio_metrics(t: Inputs) -> DataFrame:
     return transit_measures(t.stop_times, t.lookup, t.areas_with_zero).select(
         "neighbourhood",
-        F.round("dep_per_station", 6).alias("dep_per_station"),
-        F.round("dep_per_km2", 6).alias("dep_per_km2"),
+        F.round("density.per_station", 6).alias("dep_per_station"),
+        F.round("density.per_km2", 6).alias("dep_per_km2"),
     )
 
 
@@ -136,7 +136,10 @@ def score_minmax_inverted(t: Inputs) -> DataFrame:
     from v_density_scores join (select neighbourhood, connectivity_score from v_connectivity) using (neighbourhood)""")
 def score_composite(t: Inputs) -> DataFrame:
     return connectivity_scores(t.stop_times, t.lookup, t.areas, detail=True).select(
-        "neighbourhood", "dep_per_station_score", "dep_per_km2_score", "connectivity_score"
+        "neighbourhood",
+        F.col("density_score.per_station").alias("dep_per_station_score"),
+        F.col("density_score.per_km2").alias("dep_per_km2_score"),
+        "connectivity_score",
     )
 
 

@@ -47,9 +47,9 @@ def test_connectivity(transit):
 
 
 def test_log_density(transit):
-    plain = dict((r[0], r[-1]) for r in rows(connectivity_scores(*transit, detail=True).select("neighbourhood", "dep_per_km2")))
+    plain = dict((r[0], r[-1]) for r in rows(connectivity_scores(*transit, detail=True).select("neighbourhood", "density.per_km2")))
     logged = connectivity_scores(*transit, density_transform="log1p", detail=True)
-    for name, value in rows(logged.select("neighbourhood", "dep_per_km2")):
+    for name, value in rows(logged.select("neighbourhood", "density.per_km2")):
         if value is not None:
             import math
 
