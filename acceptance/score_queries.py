@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from acceptance.registry import query
 from acceptance.views import VIEWS, Inputs, exact_mean, exact_sum, half_up, minmax
+from dwellrank.functions.scalars import epoch_seconds
 from dwellrank.functions.scalars import exact_sum as exact_sum_column
 from dwellrank.operators.checks import failing_accepted_values, failing_not_null, failing_unique
 from dwellrank.operators.joins import attach_group_total
+from dwellrank.operators.quantiles import exact_quantiles
 from dwellrank.operators.ranking import with_ntile, with_percent_rank, with_rank, with_row_number
 from dwellrank.operators.scaling import score_table, with_delta_from_mean
+from dwellrank.operators.summaries import DISTINCT_ERROR, RANK_ERROR, merged_summaries, read_summaries, summaries
 from dwellrank.plans import mart as marts
 from dwellrank.plans.connectivity import (
     connectivity_scores,
@@ -24,7 +27,8 @@ from dwellrank.plans.events import events_scores
 from dwellrank.plans.geometry import area_geometry
 from dwellrank.plans.listings import room_type_breakdown as room_types, value_scores
 from dwellrank.plans.punctuality import city_counters
-from dwellrank.session import pin, run_together
+from dwellrank.session import pin, run_together, scratch_path
+from dwellrank.sources import sinks
 from dwellrank.sources.files import staged_scores
 
 VIEWS.update(
@@ -345,3 +349,54 @@ def win_rank_big_integers(t: Inputs) -> DataFrame:
     """Ranks of integers that are one and the same as doubles."""
     big = F.lit(2**53) + F.floor(F.col("event_id") / 2)
     return with_rank(t.table("events").select("event_id", big.alias("v")), "v", "place", descending=False).drop("v")
+
+
+@query("""
+    select l_suppkey, count(l_extendedprice) as n, quantile_disc(l_extendedprice, 0.5) as median, quantile_disc(l_extendedprice, 0.9) as high
+    from lineitem group by l_suppkey""")
+def quantiles_by_supplier(t: Inputs) -> DataFrame:
+    """Exact quantiles of raw prices for every supplier."""
+    return exact_quantiles(t.table("lineitem"), "l_suppkey", "l_extendedprice", [0.5, 0.9], ["median", "high"])
+
+
+@query("""
+    select l_returnflag, count(l_extendedprice) as n, quantile_disc(l_extendedprice, 0.25) as lower, quantile_disc(l_extendedprice, 0.5) as median
+    from lineitem group by l_returnflag""")
+def quantiles_of_large_groups(t: Inputs) -> DataFrame:
+    """The same for three groups that hold all rows."""
+    return exact_quantiles(t.table("lineitem"), "l_returnflag", "l_extendedprice", [0.25, 0.5], ["lower", "median"])
+
+
+@query("select count(value) as n, median(value) as median from events")
+def median_of_doubles(t: Inputs) -> DataFrame:
+    """The median of all raw values, the mean of the two in the middle."""
+    return exact_quantiles(t.table("events"), None, "value", [0.5], ["median"], interpolated=True)
+
+
+@query("""
+    select week, count(*) as n_rows, count(distinct event_id) as events, true as distinct_in_bound, true as median_in_bound
+    from (select event_id, cast(epoch(ts) as bigint) // 604800 as week from events) group by week""")
+def summaries_merged_by_week(t: Inputs) -> DataFrame:
+    """Daily sketches, committed as a series, merged by week, and held against the exact figures of all rows."""
+    events = t.table("events").select(
+        "event_id", "value", F.floor(epoch_seconds(F.col("ts")) / 86400).cast("bigint").alias("day")
+    )
+    path = scratch_path(t.spark, "summaries")
+    schema = "day bigint, n_rows bigint, event_id_distinct binary, value_quantiles binary"
+    daily = summaries(events, ["day"], ["event_id"], ["value"])
+    for _ in range(2):
+        sinks.commit_series(daily, path, schema, ["day"], F.floor(F.col("day") / 30))
+    stored = sinks.read_series(t.spark, path, schema).withColumn("week", F.floor(F.col("day") / 7))
+    found = pin(read_summaries(merged_summaries(stored.drop("day"), ["week"]), [0.5]), "weeks")
+    exact = (
+        events.withColumn("week", F.floor(F.col("day") / 7))
+        .join(F.broadcast(found.select("week", F.get("value_quantiles", F.lit(0)).alias("estimate"))), "week")
+        .groupBy("week")
+        .agg(F.count_distinct("event_id").alias("events"), F.count_if(F.col("value") <= F.col("estimate")).alias("up_to"))
+    )
+    close = F.abs(F.col("event_id_distinct") - F.col("events")) <= DISTINCT_ERROR * F.col("events")
+    # The median's rank may be off by its bound, and by the copies of one value.
+    near = F.abs(F.col("up_to") / F.col("n_rows") - 0.5) <= RANK_ERROR + 0.005
+    return found.join(exact, "week").select(
+        F.col("week").cast("bigint").alias("week"), "n_rows", "events", close.alias("distinct_in_bound"), near.alias("median_in_bound")
+    )
