@@ -10,16 +10,17 @@ is missed. Common shingles rank last: those counted more than ``HOT`` times go i
 bounded size, and any filter keeps the join exact, since it only fixes an order. Sets that consist of
 common shingles join once more among themselves, with counts of all their shingles.
 
-*Document pivots.* Regions of ranked shingles hold at most ``HOT`` rows and give all their pairs. A region
-of a hot shingle (sets that are made of common shingles, near copies by the thousand) picks document
-pivots and measures every member's distance to them. Members within the radius are linked. Members that are
-still apart, and those which the triangle inequality does not keep away from them, form the region of the
-next round, until each region is connected or small.
-
-Every link that could join two classes is verified on whole sets; that gives the classes. A link never
-leaves its class, so the rest of them are found there: a class is cut into blocks of sets of like size, and
-every two blocks whose sizes allow a link meet once and are measured whole (``near_duplicate_links``,
-``near_duplicate_counts``).
+*Document pivots.* Regions of ranked shingles hold at most ``HOT`` rows and give all their pairs. What is
+left are sets that meet in hot shingles only. These are joined once, all of them together: they are cut into
+regions of like size, and a region with more than ``LEAF`` members picks pivots among them. The nearest pivot
+owns a set; a set that another pivot owns visits a region where the difference of its two distances is at most
+twice the radius, and its distance no more than that of the farthest owned set and the radius, for else the triangle
+inequality keeps it away from all owned sets. Regions are cut again while that makes them smaller. A region that
+stays is cut into blocks by the distance to one pivot; blocks meet if these distances allow a link, and every
+pair of sets in them is measured whole.
+
+A pair belongs to one region only, that of the lower of its two owners, so links are counted without becoming
+rows: a cell of two blocks gives the number of links of each set, and links that span its classes.
 """
 
 from __future__ import annotations
@@ -41,9 +42,13 @@ PART = int(0.35 * 2**64)  # of all sets, shingles with hashes below are counted:
 ALL = 2**64 - 1  # of sets in hot regions, all are
 BLOOM_BITS = 1 << 25  # at most
 BLOOM_PROBES = 4
-PIVOTS = 4  # document pivots of a region in the second round, twice as many in each one after
+PIVOTS = 16  # document pivots of a region
+LEAF = 2048  # members of a region that is not cut again
+SHRINK = 0.7  # a region is cut if all parts are this much smaller
+CHUNK = 2048  # members of a region that a task measures against its pivots
 RADIUS = 0.2
-BLOCK = 512  # sets of a block of a class, about
+BAND = 0.02  # blocks of a region hold sets whose distances to its pivot differ by less
+BLOCK = 512  # sets of a block, about
 BLOCK_SHINGLES = 1 << 18  # and their shingles, about
 COLUMNS = 4096  # shingles that one product of a cell takes
 
@@ -395,93 +400,107 @@ LINKED = "100 * common >= 80 * total"
 # --- document pivots ----------------------------------------------------------------------------
 
 
-def hot_regions(rows: DataFrame) -> DataFrame:
-    """region, node and share, from the hot rows of ``region_rows``.
+def size_regions(hot: DataFrame) -> DataFrame:
+    """region, node, n, copies, mask and level, from node, n and copies of sets that meet in hot shingles.
 
-    Sets that link have sizes within 4 to 5, so a region is split into classes of size in that ratio, and
-    every set belongs to its class and the next. ``share`` is the hot part of a set's prefix: a text that
-    others were copied from has no shingle of its own, and makes the best pivot.
+    Sets that link have sizes within 4 to 5. A region holds a class of size in that ratio and, as visitors, the
+    next larger class. Bit i of ``mask`` says that a set visits on level i; two sets that both visit on some level
+    are a pair of another region.
     """
-    hot = rows.filter("hot").select("shingle", "node", F.shiftright("info", 31).alias("n")).distinct()
-    counts = hot.groupBy("node").agg((F.count("*") / F.expr("any_value(n) - ceil(0.8 * any_value(n)) + 1")).alias("share"))
     step = F.floor(F.log(1.25, F.col("n")) + 1e-9)
-    classes = hot.withColumn("step", F.explode(F.array(step, step + 1)))
-    return classes.join(counts, "node").select(F.xxhash64("shingle", "step").alias("region"), "node", "share")
-
-
-def _without_repeats(regions: DataFrame) -> DataFrame:
-    """One of all regions with the same members, and none with a single member."""
-    members = regions.groupBy("region").agg(
-        F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    places = F.array(
+        F.struct(step.alias("step"), F.lit(0).alias("mask")), F.struct((step - 1).alias("step"), F.lit(1).alias("mask"))
     )
-    one = members.filter("k > 1").groupBy("k", "x", "y").agg(F.min("region").alias("region")).select("region", "k")
-    return regions.join(one, "region").select("region", "node", "share", "k")
-
-
-def _chosen_pivots(regions: DataFrame, number: int) -> DataFrame:
-    """region and pivot: the ``number`` members with the largest share. Spark cuts each task's rows to that
-    number before they are shuffled."""
-    order = Window.partitionBy("region").orderBy(F.desc("share"), F.xxhash64("node"))
-    ranked = regions.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= number)
-    return ranked.select("region", F.col("node").alias("pivot"))
+    placed = hot.withColumn("_p", F.explode(places))
+    return placed.select(F.xxhash64("_p.step").alias("region"), "node", "n", "copies", "_p.mask")
 
 
-def split_hot_regions(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """node and label of all classes, from ``links`` and those that connect what is close in hot regions.
+def _distances(members: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with ``d``: the distances to all pivots of their region (region, place, pivot), in order of place.
 
-    ``regions`` has region, node and share. Each round drops regions that lie in one class. The first one
-    measures all members against one pivot, which connects most near copies. Later ones compare, in regions
-    with up to ``HOT`` members, all pairs of different classes, and measure the members of larger ones
-    against more pivots. A pair of members in different classes can only be close if their distances to
-    every pivot differ by the radius at most; who is in no such pair leaves, as do the pivots, and the rest
-    is the region of the next round.
+    Members of a region are dealt out in chunks, each of which meets the region's pivots, so no task holds more
+    than ``CHUNK`` members, about, whatever the region.
     """
-    labels = pin(components(links), "labels")
-    regions = pin(_without_repeats(regions), "hot-regions")
-    number = 1
-    while not regions.isEmpty():
-        marked = regions.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        apart = marked.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        regions = pin(marked.join(apart, "region", "left_semi"), "open-regions")
-        if regions.isEmpty():
-            break  # every hot region lies in one class
-        limit = HOT if number > 1 else 0
-        small, large = regions.filter(F.col("k") <= limit), regions.filter(F.col("k") > limit)
-        lists = small.groupBy("region").agg(F.collect_set(F.struct("node", "label")).alias("members"))
-        crossed = F.expr("filter(members, m -> m.label <> a.label and m.node > a.node)")
-        every = lists.select(F.explode("members").alias("a"), "members").select(F.col("a.node").alias("a"), F.explode(crossed).alias("b"))
-        pivots = pin(_chosen_pivots(large, number), "pivots")
-        star = large.select("region", "node", "share").join(pivots, "region")
-        ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
-        wanted = star.filter("node <> pivot").select(*ends).union(every.select("a", "b.node"))
-        pairs = pin(wanted.distinct(), "pairs")
-        distance = pin(measured(pairs, sets), "distances")
-        links = pin(links.union(distance.filter(LINKED).select("a", "b")).distinct(), "links")
-        labels = pin(components(links), "labels")
-        # Distances as numbers only say which pairs are still possible; a margin covers their rounding.
-        gap = F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("common") / F.col("total"))
-        near = (
-            star.withColumns({"a": ends[0], "b": ends[1]})
-            .join(distance, ["a", "b"], "left")
-            .select("region", "node", "share", "pivot", gap.alias("d"))
-            .join(labels, "node", "left")
-            .withColumn("label", F.coalesce("label", "node"))
+    chunks = members.groupBy("region").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = members.join(chunks, "region").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int")).drop("chunks")
+    left = dealt.join(sets, "node")
+    right = pivots.join(chunks, "region").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    of = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("of"))
+    right = right.join(of, "pivot").select(F.col("region").alias("r"), F.col("chunk").alias("c"), "place", "of")
+
+    def run(rows: pa.Table, of: pa.Table) -> pa.Table:
+        order = np.argsort(of.column("place").to_numpy())
+        found = [np.frombuffer(x, np.uint64) for x in of.column("of").to_pylist()]
+        found = [found[i] for i in order]
+        own = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+        every = np.concatenate(own) if own else np.empty(0, np.uint64)
+        sizes = np.diff(edges)
+        gaps = []
+        for pivot in found:
+            place = np.minimum(np.searchsorted(pivot, every), len(pivot) - 1)
+            common = np.add.reduceat((pivot[place] == every).astype(np.int64), edges[:-1]) if len(own) else np.empty(0, np.int64)
+            gaps.append(1 - common / (sizes + len(pivot) - common))
+        d = np.stack(gaps, axis=1) if len(own) else np.empty((0, len(found)))
+        out = {c: rows.column(c) for c in ("region", "node", "n", "copies", "mask")}
+        out["d"] = pa.array(d.tolist(), pa.list_(pa.float64()))
+        return pa.table(out)
+
+    schema = "region long, node long, n long, copies long, mask int, d array<double>"
+    return left.groupBy("region", "chunk").cogroup(right.groupBy("r", "c")).applyInArrow(run, schema)
+
+
+def _pivots(members: DataFrame, number: int) -> DataFrame:
+    """region, place and pivot: the owned members of each region that come first by hash, ``number`` at most."""
+    order = Window.partitionBy("region").orderBy("mask", F.xxhash64("node"), "node")
+    ranked = members.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= number)
+    return ranked.select("region", "place", F.col("node").alias("pivot"))
+
+
+def voronoi_regions(regions: DataFrame, sets: DataFrame) -> DataFrame:
+    """region, node, n, copies, mask and ``d``, the distance to the region's first pivot, of all final regions."""
+    level, done = 0, []
+    while True:
+        level += 1
+        counts = regions.groupBy("region").agg(F.count("*").alias("k"), F.bit_and("mask").alias("all"))
+        # Where all sets visit on one level no pair is this region's own.
+        sized = pin(counts.filter("k > 1 and all = 0"), "region-sizes")
+        small = sized.filter(F.col("k") <= LEAF).select("region")
+        done.append(regions.join(small, "region", "left_semi"))
+        large = regions.join(sized.filter(F.col("k") > LEAF).select("region"), "region", "left_semi")
+        large = pin(large, "large-regions")
+        if large.isEmpty() or level > 30:  # bits of a mask
+            done.append(large)
+            break
+        met = pin(_distances(large, _pivots(large, PIVOTS), sets), "pivot-distances")
+        nearest = F.array_position("d", F.array_min("d")) - 1
+        owned = met.withColumn("owner", nearest.cast("int")).withColumn("least", F.array_min("d"))
+        reach = owned.groupBy("region", F.col("owner").alias("part")).agg(F.max("least").alias("reach"))
+        # A set visits regions of lower owners, and only where it can be close to one of their sets.
+        lower = F.when(F.col("owner") > 0, F.sequence(F.lit(0), F.col("owner") - 1)).otherwise(F.array().cast("array<int>"))
+        near = F.filter(lower, lambda p: F.get("d", p) - F.col("least") <= 2 * RADIUS + 1e-9)
+        parts = F.concat(F.array("owner"), near)
+        spread = owned.withColumn("part", F.explode(parts)).join(reach, ["region", "part"])
+        spread = spread.filter((F.col("part") == F.col("owner")) | (F.get("d", F.col("part")) <= F.col("reach") + RADIUS + 1e-9))
+        visits = F.when(F.col("part") < F.col("owner"), F.col("mask").bitwiseOR(F.lit(1 << level))).otherwise(F.col("mask"))
+        cut = pin(
+            spread.select(F.col("region").alias("of"), F.xxhash64("region", "part").alias("region"), "node", "n", "copies", visits.alias("mask")),
+            "cut-regions",
         )
-        # One class stays only where others come close to it: that of the first pivot.
-        main = near.filter("node = pivot").groupBy("region").agg(F.min("label").alias("main"))
-        sided = near.join(main, "region").withColumn("outside", F.col("label") != F.col("main"))
-        rings = sided.filter("outside").groupBy("region", "pivot").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-        in_ring = (F.col("d") >= F.col("lo") - RADIUS - 1e-9) & (F.col("d") <= F.col("hi") + RADIUS + 1e-9)
-        kept = sided.join(rings, ["region", "pivot"]).groupBy("region", "node", "share").agg(
-            F.bool_and(F.col("outside") | in_ring).alias("keep"), F.bool_or(F.col("node") == F.col("pivot")).alias("met")
-        )
-        regions = pin(_without_repeats(kept.filter("keep and not met").select("region", "node", "share")), "hot-regions")
-        # What few pivots leave over is small or far apart: take more of them.
-        number = max(PIVOTS, 2 * number)
-    return labels
+        # A region whose largest part is nearly the whole is no smaller for being cut: it stays.
+        whole = large.groupBy(F.col("region").alias("of")).agg(F.count("*").alias("k"))
+        most = cut.groupBy("of", "region").agg(F.count("*").alias("part_k")).groupBy("of").agg(F.max("part_k").alias("most"))
+        shrunk = pin(most.join(whole, "of").filter(F.col("most") <= SHRINK * F.col("k")).select("of"), "shrunk-regions")
+        done.append(large.join(shrunk.withColumnRenamed("of", "region"), "region", "left_anti"))
+        regions = pin(cut.join(shrunk, "of", "left_semi").drop("of"), "regions")
+    final = done[0]
+    for table in done[1:]:
+        final = final.unionByName(table)
+    final = pin(final, "final-regions")
+    return _distances(final, _pivots(final, 1), sets).withColumn("d", F.get("d", F.lit(0)))
 
 
-# --- links inside classes -----------------------------------------------------------------------
+# --- links inside regions -----------------------------------------------------------------------
 
 
 def cell_links(own: bool, sides: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -513,88 +532,130 @@ def cell_links(own: bool, sides: np.ndarray, sets: list[np.ndarray]) -> tuple[np
     return left[i], right[j], shared[i, j], total[i, j]
 
 
-def class_cells(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows label, s, i, t, j, side, node, copies, shingles: the sets of every cell.
-
-    ``members`` has node, n_shingles, copies and label. Sets that link have sizes within 4 to 5, so classes
-    are cut by size in that ratio and then into blocks; block i of size class s meets block j of size class t.
+def spanning_links(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what a symmetric matrix of links does, one fewer than its members per class."""
+    open_ = linked.any(axis=1)
+    first, second = [], []
+    for start in np.flatnonzero(open_).tolist():
+        if not open_[start]:
+            continue
+        open_[start] = False
+        frontier = np.array([start])
+        while len(frontier):
+            reached = linked[frontier] & open_
+            fresh = np.flatnonzero(reached.any(axis=0))
+            first.append(frontier[reached[:, fresh].argmax(axis=0)])
+            second.append(fresh)
+            open_[fresh] = False
+            frontier = fresh
+    if not first:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(first), np.concatenate(second)
+
+
+def region_cells(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows region, i, j, side, node, copies, mask, shingles: the sets of every two blocks that can hold a link.
+
+    ``members`` are those of ``voronoi_regions``. Sets whose distances to the region's pivot differ by more than the
+    radius are never close, so a block meets those of its band and of the bands within the radius.
     """
-    sized = members.withColumn("s", F.floor(F.log(1.25, F.col("n_shingles")) + 1e-9))
-    weight = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
-    blocks = pin(sized.groupBy("label", "s").agg(F.ceil(weight).alias("blocks"), F.count("*").alias("k")), "class-blocks")
-    whole = sized.join(blocks, ["label", "s"])
-    for name, shift in (("below", -1), ("above", 1)):
-        near = blocks.select("label", (F.col("s") - shift).alias("s"), F.col("blocks").alias(name))
-        whole = whole.join(near, ["label", "s"], "left")
-    whole = whole.withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
-
-    b, s = F.col("b"), F.col("s")
-
-    def cell(s_, i, t, j, side):
-        return F.struct(s_.alias("s"), i.alias("i"), t.alias("t"), j.alias("j"), side.cast("int").alias("side"))
-
-    def every(count):
-        numbers = F.sequence(F.lit(0).cast("long"), F.col(count).cast("long") - 1)
-        return F.when(F.col(count) > 0, numbers).otherwise(F.array().cast("array<bigint>"))
-
-    own = F.when(F.col("k") > 1, every("blocks")).otherwise(F.array().cast("array<bigint>"))
-    met = F.concat(
-        F.transform(own, lambda o: cell(s, F.least(b, o), s, F.greatest(b, o), b > o)),
-        F.transform(every("above"), lambda o: cell(s, b, s + 1, o, F.lit(0))),
-        F.transform(every("below"), lambda o: cell(s - 1, o, s, b, F.lit(1))),
+    banded = members.withColumn("band", F.floor(F.col("d") / BAND).cast("int"))
+    weight = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    bands = pin(banded.groupBy("region", "band").agg(F.ceil(weight).cast("int").alias("blocks")), "bands")
+    width = int(RADIUS / BAND + 1e-9) + 1
+    # One row per region: as many bands as distances from 0 to 1 have.
+    lists = bands.groupBy("region").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("blocks"))
+    placed = banded.join(lists, "region").withColumn("b", F.pmod(F.xxhash64("node"), F.get(F.array(F.col("blocks")[F.col("band")]), F.lit(0))).cast("int"))
+    near = F.filter(F.map_keys("blocks"), lambda k: F.abs(k - F.col("band")) <= width)
+    others = F.flatten(
+        F.transform(near, lambda k: F.transform(F.sequence(F.lit(0), F.element_at("blocks", k) - 1), lambda o: F.struct(k.alias("band"), o.alias("b"))))
+    )
+    own = F.struct("band", "b")
+    cell = F.transform(
+        others, lambda o: F.struct(F.least(own, o).alias("i"), F.greatest(own, o).alias("j"), (own > o).cast("int").alias("side"))
     )
-    meeting = whole.select("label", "node", "copies", F.explode(met).alias("c")).select("label", "c.*", "node", "copies")
-    return meeting.join(sets, "node")
+    met = placed.select("region", "node", "copies", "mask", F.explode(cell).alias("c")).select("region", "c.*", "node", "copies", "mask")
+    return met.join(sets, "node")
 
 
-def _measured_cells(members: DataFrame, sets: DataFrame, pairs: bool) -> DataFrame:
-    """Linked pairs (a, b, common, total), or node and links: the copies of its linked sets, cell by cell."""
+def _measured_regions(members: DataFrame, sets: DataFrame, pairs: bool) -> DataFrame:
+    """All links as (a, b, common, total); or per cell a, b and links: spanning links (a, b, 0) and for each set the
+    copies of the sets it links to (a, null, links).
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        first = table.slice(0, 1).to_pylist()[0]
-        own, sides = (first["s"], first["i"]) == (first["t"], first["j"]), table.column("side").to_numpy()
-        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        one = table.slice(0, 1).to_pylist()[0]
+        own, sides = one["i"] == one["j"], table.column("side").to_numpy()
+        nodes, copies, masks = (table.column(c).to_numpy() for c in ("node", "copies", "mask"))
         found = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         i, j, common, total = cell_links(own, sides, found)
+        ours = (masks[i] & masks[j]) == 0
+        i, j, common, total = i[ours], j[ours], common[ours], total[ours]
         if pairs:
             a, b = np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])
             return pa.table({"a": a, "b": b, "common": common, "total": total})
         links = np.zeros(len(nodes), np.int64)
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])
-        return pa.table({"node": nodes, "links": links})
+        linked = np.zeros((len(nodes), len(nodes)), bool)
+        linked[i, j] = linked[j, i] = True
+        x, y = spanning_links(linked)
+        some = np.flatnonzero(links)
+        return pa.table(
+            {
+                "a": np.concatenate([nodes[x], nodes[some]]),
+                "b": pa.concat_arrays([pa.array(nodes[y], pa.int64()), pa.nulls(len(some), pa.int64())]),
+                "links": np.concatenate([np.zeros(len(x), np.int64), links[some]]),
+            }
+        )
 
-    schema = "a long, b long, common long, total long" if pairs else "node long, links long"
-    return class_cells(members, sets).groupBy("label", "s", "i", "t", "j").applyInArrow(run, schema)
+    schema = "a long, b long, common long, total long" if pairs else "a long, b long, links long"
+    return region_cells(members, sets).groupBy("region", "i", "j").applyInArrow(run, schema)
 
 
 # --- the join -----------------------------------------------------------------------------------
 
 
-def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes of all rows, the sets that any link can have, and node and label of all that have one."""
+def _prepared(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Nodes of all rows, links found in small regions (a, b, common, total), members of all Voronoi regions, and the
+    sets of both.
+    """
     nodes = pin(document_nodes(docs, text), "nodes")
     rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, PART)), PART), "regions")
     pairs = pin(small_region_pairs(rows), "candidates")
     # Sets that fill their prefix with hot shingles join again among themselves, by all they hold.
     common = pin(rows.filter("hot").select("node").distinct(), "common")
     n_common = common.count()
+    hot = rows.filter("hot").select("node").limit(0)
     if n_common:
         only = build_bloom(common, n_common)
         rows = pin(region_rows(docs, text, build_bloom(*hot_shingles(docs, text, ALL, only)), ALL, only), "regions")
         pairs = pin(pairs.union(small_region_pairs(rows)).distinct(), "candidates")
-    regions = pin(hot_regions(rows), "hot-regions")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(regions.select("node")).distinct()
+        hot = pin(rows.filter("hot").select("node").distinct(), "hot-sets")
+    # Pairs of hot sets are found in their regions.
+    marked = pairs.join(hot.select(F.col("node").alias("a"), F.lit(True).alias("hot_a")), "a", "left")
+    marked = marked.join(hot.select(F.col("node").alias("b"), F.lit(True).alias("hot_b")), "b", "left")
+    pairs = pin(marked.filter("not coalesce(hot_a and hot_b, false)").select("a", "b"), "candidates")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(hot.select("node")).distinct()
     wanted = pin(wanted, "wanted")
     sets = pin(needed_sets(docs, text, wanted, wanted.count()), "sets")
-    links = pin(measured(pairs, sets).filter(LINKED).select("a", "b"), "links")
-    return nodes, sets, split_hot_regions(regions, sets, links)
+    links = pin(measured(pairs, sets).filter(LINKED), "links")
+    held = nodes.join(hot, "node", "left_semi").groupBy("node").agg(F.any_value("n_shingles").alias("n"), F.count("*").alias("copies"))
+    members = pin(voronoi_regions(pin(size_regions(held), "size-regions"), sets), "members")
+    return nodes, links, members, sets
 
 
-def _members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, n_shingles, copies (its rows) and label of all sets that link to another one."""
-    distinct = nodes.filter("node is not null").groupBy("node").agg(F.any_value("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
-    return distinct.join(labels, "node")
+def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes of all rows, node and label of all sets that link to another, and node and links: the copies of those."""
+    nodes, links, members, sets = _prepared(docs, text)
+    found = pin(_measured_regions(members, sets, False), "region-links")
+    spanning = links.select("a", "b").union(found.filter("b is not null").select("a", "b"))
+    labels = pin(components(spanning), "labels")
+    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+    copies = nodes.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
+    weighed = ends.join(copies.withColumnRenamed("node", "other"), "other").select("node", F.col("copies").alias("links"))
+    every = weighed.union(found.filter("b is null").select(F.col("a").alias("node"), "links"))
+    return nodes, labels, every.groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _named(nodes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -616,7 +677,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text") -> DataFrame:
     but names no component unless it is alone. Shingles and sets are known by 64-bit hashes, and all else
     is exact. Texts are read up to six times and never shuffled; sets move only for candidate pairs.
     """
-    nodes, _, labels = _classes(docs, text)
+    nodes, labels, _ = _classes(docs, text)
     return _named(nodes, labels).drop("node")
 
 
@@ -626,10 +687,7 @@ def near_duplicate_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     Rows with equal sets link to each other, so copies count. No pair becomes a row: a cell gives a sum for
     each of its sets.
     """
-    nodes, sets, labels = _classes(docs, text)
-    labels = pin(labels, "labels")
-    members = pin(_members(nodes, labels), "members")
-    sums = _measured_cells(members, sets, False).groupBy("node").agg(F.sum("links").alias("links"))
+    nodes, labels, sums = _classes(docs, text)
     copies = nodes.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"))
     # Sets without a partner and with one row need no place in this join.
     linked = copies.join(sums, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
@@ -642,5 +700,5 @@ def near_duplicate_links(docs: DataFrame, text: str = "text") -> tuple[DataFrame
 
     Rows that share a node link as well. The number of links can grow with the square of a group.
     """
-    nodes, sets, labels = _classes(docs, text)
-    return _measured_cells(pin(_members(nodes, labels), "members"), sets, True), nodes
+    nodes, links, members, sets = _prepared(docs, text)
+    return links.unionByName(_measured_regions(members, sets, True)), nodes

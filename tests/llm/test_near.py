@@ -86,7 +86,9 @@ def hard_rows():
 
 def test_op6_on_hot_groups_and_chains(spark, as_table, hard_rows, monkeypatch):
     monkeypatch.setattr(jj, "HOT", 8)
-    monkeypatch.setattr(jj, "PIVOTS", 2)
+    monkeypatch.setattr(jj, "PIVOTS", 3)
+    monkeypatch.setattr(jj, "LEAF", 12)
+    monkeypatch.setattr(jj, "CHUNK", 20)
     assert found(spark, as_table(hard_rows)) == brute(hard_rows)
 
 
@@ -148,7 +150,9 @@ def all_links(rows):
 @pytest.mark.parametrize("block", [jj.BLOCK, 5])
 def test_op6_counts_every_link(spark, as_table, hard_rows, monkeypatch, block):
     monkeypatch.setattr(jj, "HOT", 8)
-    monkeypatch.setattr(jj, "PIVOTS", 2)
+    monkeypatch.setattr(jj, "PIVOTS", 3)
+    monkeypatch.setattr(jj, "LEAF", 12)
+    monkeypatch.setattr(jj, "CHUNK", 20)
     monkeypatch.setattr(jj, "BLOCK", block)
     monkeypatch.setattr(jj, "COLUMNS", 64)
     expected = collections.Counter(x for pair in all_links(hard_rows) for x in pair)
