@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwellrank.functions.geometry import GEOMETRY_TYPE, area_km2, is_valid, polygon_edges, strictly_within, to_wkt
+from dwellrank.operators import spatial
 from dwellrank.operators.skew import with_salts
 from dwellrank.operators.spatial import area_cells, count_unmatched, within_join
 from dwellrank.plans.events import area_event_counts, events_by_category, events_scores
@@ -230,3 +231,51 @@ def test_whole_hot_point_and_bad_polygon_queries_meet_every_square(spark, inputs
     assert expected and dict(rows(QUERIES["spatial_within_hot_point_all"](spark, SMALL))) == expected
     whole = rows(QUERIES["spatial_within_bad_polygon_all"](spark, SMALL))
     assert whole == rows(QUERIES["spatial_within_many_areas"](spark, SMALL)) and max(area for area, _ in whole) >= 40
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+@pytest.mark.parametrize("cell_size", [None, 3.0])
+def test_counts_equal_pairs_when_crowded_cells_are_cut(spark, monkeypatch, limit, cell_size):
+    monkeypatch.setattr(spatial, "MAX_CELL_PLACES", 3)
+    rng = random.Random(11)
+    shapes = [("framed", [[SQUARE, HOLE]]), ("framed", [[SQUARE, HOLE]]), ("parts", [[SQUARE], [OVERLAP]]), ("far", [[ring((90, 90), (91, 90), (91, 91))]])]
+    for i in range(12):
+        x, y = rng.uniform(-5, 5), rng.uniform(-5, 5)
+        shapes.append((f"a{i}", [[ring(*[(x + rng.uniform(-6, 6), y + rng.uniform(-6, 6)) for _ in range(rng.randint(3, 8))])]]))
+    areas = spark.createDataFrame(shapes, f"neighbourhood string, geometry {GEOMETRY_TYPE}")
+    spots = [(rng.uniform(-9, 12), rng.uniform(-9, 12)) for _ in range(400)] + [(0.25, 0.25)] * 200
+    spots += [(i, j) for i in range(0, 11, 2) for j in range(0, 11, 2)] + [(float("nan"), 1.0), (1.0, float("inf"))]
+    points = located(spark, spots).unionByName(spark.createDataFrame([(-1, None, 1.0)], "id int, longitude double, latitude double"))
+    pairs = within_join(points, areas, "left", cell_size=cell_size, max_broadcast_edges=limit)
+    expected = rows(pairs.groupBy("neighbourhood").agg(F.count("*").alias("n")))
+    for how in ("left", "inner"):
+        counts = within_join(points, areas, how, cell_size=cell_size, counted="n", max_broadcast_edges=limit)
+        found = rows(counts.groupBy("neighbourhood").agg(F.sum("n").alias("n")))
+        assert found == [r for r in expected if how == "left" or r[0] is not None]
+    assert rows(count_unmatched(points, areas, "n")) == [(dict(expected)[None],)]
+
+
+def test_counts_without_areas_or_points(spark, areas):
+    points = located(spark, [(1, 1), (5, 5)])
+    left = within_join(points, areas.limit(0), "left", counted="n")
+    assert rows(left) == [(None, 2)] and rows(within_join(points, areas.limit(0), "inner", counted="n")) == []
+    assert rows(within_join(points.limit(0), areas, "left", counted="n")) == rows(within_join(points.limit(0), areas, "inner", counted="n")) == []
+    assert rows(count_unmatched(points, areas.limit(0), "n")) == [(2,)] and rows(count_unmatched(points.limit(0), areas, "n")) == [(0,)]
+
+
+def test_points_in_many_areas_are_counted_without_pairs(spark, monkeypatch):
+    met = []
+    meet = spatial._Counting.meet
+
+    def counted(self, cells, places):
+        met.append(meet(self, cells, places))
+        return met[-1]
+
+    monkeypatch.setattr(spatial._Counting, "meet", counted)
+    shifted = [(f"s{i}", [[ring((0, 0), (40 + i, 0), (40 + i, 40 + i), (0, 40 + i))]]) for i in range(50)]
+    areas = spark.createDataFrame(shifted, f"neighbourhood string, geometry {GEOMETRY_TYPE}")
+    points = located(spark, [(1 + i / 20, 1 + j / 20) for i in range(20) for j in range(20)])
+    # 20,000 pairs; every place lies in a cell that each square fills.
+    assert rows(count_unmatched(points, areas, "n")) == [(0,)] and met.pop().count() == 0
+    assert rows(within_join(points, areas, "left", counted="n")) == sorted([(f"s{i}", 400) for i in range(50)], key=repr)
+    assert met[0].count() <= 20_000 / 2
