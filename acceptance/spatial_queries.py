@@ -155,9 +155,9 @@ def spatial_within_hot_point_all(t: Inputs) -> DataFrame:
     select coalesce(s.area, -1) as area, count(*) as events
     from {_PLACES} p left join {_SQUARES} s on x > x0 and x < x0 + side and y > y0 and y < y0 + side group by 1""")
 def spatial_within_events_left(t: Inputs) -> DataFrame:
-    """Every event with all squares it lies in, on three levels at once; those in none are kept."""
-    joined = within_join(_places(t), _squares(t), "left", max_broadcast_edges=0)
-    return joined.groupBy(F.coalesce("area", F.lit(-1)).alias("area")).agg(F.count("*").alias("events"))
+    """Every event in all squares it lies in, on three levels at once; those in none are kept."""
+    counts = within_join(_places(t), _squares(t), "left", counted="n", max_broadcast_edges=0)
+    return counts.groupBy(F.coalesce("area", F.lit(-1)).alias("area")).agg(F.sum("n").alias("events"))
 
 
 @query(f"select count(*) as outside from {_PLACES} p where not exists (select 1 from {_SQUARES} s where x > x0 and x < x0 + side and y > y0 and y < y0 + side)")
