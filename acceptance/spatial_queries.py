@@ -121,9 +121,8 @@ def spatial_within_bad_polygon_all(t: Inputs) -> DataFrame:
     """All squares with one area added that reaches to infinity and one that is open."""
     ring = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in ((0.0, 0.0), (float("inf"), 0.0), (1.0, 1.0), (0.0, 0.0))])
     bad = t.spark.range(2).select((-F.col("id")).alias("area"), F.array(F.array(F.when(F.col("id") == 0, ring).otherwise(F.slice(ring, 1, 2)))).alias("geometry"))
-    spots = _places(t).groupBy("longitude", "latitude").agg(F.count("*").alias("n"))
-    joined = within_join(spots, _squares(t).unionByName(bad), "inner")
-    return joined.groupBy("area").agg(F.sum("n").alias("points"))
+    counts = within_join(_places(t), _squares(t).unionByName(bad), "inner", counted="n")
+    return counts.groupBy("area").agg(F.sum("n").alias("points"))
 
 
 _BLOCKS = """(select s_suppkey as area, 11 + (s_suppkey % 7) * 15e-2 as x0, 48 + (s_suppkey % 5) * 21e-2 as y0,
