@@ -17,6 +17,7 @@ from dwellrank.llm.jaccard_join import near_duplicate_classes
 from dwellrank.llm.language_id import UNKNOWN, fit, identify
 from dwellrank.llm.queries import tokenizer_file
 from dwellrank.llm.sentencepiece_scan import encode
+from dwellrank.operators.joins import with_keys, without_keys
 from dwellrank.session import pin
 
 LEAST_SCORE = 0.34  # a best language with no more than a third of the probability is none
@@ -51,10 +52,11 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     copies = duplicate_classes(docs.select("doc_id", "text"), older_half()).filter("group_size > 1")
     groups = pin(copies.select(F.col("text_sha256").alias("_key"), "keep_id").distinct(), "copied-texts")
     keyed = docs.withColumn("_key", _text_key())
-    single = keyed.join(groups, "_key", "left_anti").select(*docs.columns)
-    ours = groups.withColumnRenamed("keep_id", "_keep")
-    kept = keyed.join(ours, "_key").filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return single.unionByName(_one_row_each(kept.drop("_keep"), ["_key"]).select(*docs.columns))
+    single = without_keys(keyed, groups.select("_key"), "_key").select(*docs.columns)
+    # Structs are equal when the ids in them are both null.
+    stays = groups.select(F.struct("_key", F.col("keep_id").alias("doc_id")).alias("_row_key"))
+    kept = with_keys(keyed.withColumn("_row_key", F.struct("_key", "doc_id")), stays, "_row_key")
+    return single.unionByName(_one_row_each(kept.drop("_row_key"), ["_key"]).select(*docs.columns))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,9 +72,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     )
     # Rows whose key is not the first of its class go, and of equal rows with the first key all but one.
     keyed = docs.withColumn("_key", key)
-    same = F.col("_key") == F.col("_named")
-    left = keyed.join(named.select("_named"), same, "left_anti").select(*docs.columns)
-    again = keyed.join(named.filter("stays").select("_named"), same, "left_semi")
+    left = without_keys(keyed, named.select(F.col("_named").alias("_key")), "_key").select(*docs.columns)
+    again = with_keys(keyed, named.filter("stays").select(F.col("_named").alias("_key")), "_key")
     return left.unionByName(_one_row_each(again, ["_key"]).select(*docs.columns))
 
 
@@ -80,7 +81,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """Documents in which a passage of the benchmark was found go, whatever their doc_id."""
     texts = docs.select(_text_key().alias("doc_id"), "text")
     found = pin(find_passages(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_key")).distinct(), "leaked-texts")
-    return docs.withColumn("_key", _text_key()).join(found, "_key", "left_anti").select(*docs.columns)
+    return without_keys(docs.withColumn("_key", _text_key()), found, "_key").select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SLICE_BYTES = 2 << 20  # bytes of text a numpy pass looks at; bounds the memory of a task
 _HASH_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -25,6 +26,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def carries_text(docs: DataFrame, others: list[str], text: str) -> bool:
+    """Whether ``others`` hold the text as it is, so that rows sent to Python need no second copy of it."""
+    return text in others and docs.schema[text].dataType == StringType()
+
+
+def batch_texts(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """The texts of a batch, with null read as empty."""
+    found = batch.column(column)
+    return found.fill_null("") if found.null_count else found
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker, so that tasks share compiled models."""
     module = sys.modules.setdefault("_dwellrank_llm_store", types.ModuleType("_dwellrank_llm_store"))

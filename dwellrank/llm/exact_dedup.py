@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellrank.llm.common import mixed, whole_text
+from dwellrank.operators.joins import possible_keys
 from dwellrank.session import pin
 
 BUCKET_KEYS = 50_000  # digests a filter is built for, on average
@@ -165,7 +166,7 @@ def duplicate_classes(docs: DataFrame, in_snapshot: Column, text: str = "text",
     buckets = 1 << max(4, math.ceil(math.log2(max(snapshot.count(), 1) / BUCKET_KEYS)) if snapshot.count() else 4)
     filters = pin(snapshot_filters(snapshot, buckets), "fuse-filters")
     positives = screened(batch, filters, buckets).join(snapshot, "sha", "left_semi")
-    company = positives.union(per_side.filter("n > 1").select("sha")).distinct()
+    company = pin(positives.union(per_side.filter("n > 1").select("sha")).distinct(), "digests-in-company")
 
     # Byte checks: the texts behind digests that are not alone, grouped by digest and text. Salts keep
     # a text with many copies out of one task, and copies combine before the second shuffle.
@@ -175,7 +176,8 @@ def duplicate_classes(docs: DataFrame, in_snapshot: Column, text: str = "text",
     )
     salted = company.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     classes = pin(
-        texts.join(salted, ["sha", "salt"], "left_semi")
+        texts.filter(possible_keys(company, "sha")(F.col("sha")))
+        .join(salted, ["sha", "salt"], "left_semi")
         .groupBy("sha", "body")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("keep"))
         .drop("body"),

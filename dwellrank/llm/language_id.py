@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import text_buffers
+from dwellrank.llm.common import batch_texts, carries_text, text_buffers
 
 WINDOW = 256  # bytes a window holds
 WIDTHS = (2, 3, 4, 5)
@@ -27,6 +27,7 @@ OVERLAP = max(WIDTHS) - 1
 PER_LANGUAGE = 1500  # training windows of a language: the bound of the sample
 PER_DOCUMENT = 4  # training windows of a document, at most
 UNKNOWN = "und"
+OUT_ROWS = 1024
 
 
 @dataclass
@@ -192,7 +193,8 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
     """``docs`` with lang_pred and score (0 to 1, the network's mean probability).
 
     A text which is null or has no letter is ``und`` with score 0, as is every text without a network.
-    Columns called lang_pred or score are replaced; only the text is looked at. One pass, no shuffle.
+    Columns called lang_pred or score are replaced; only the text is looked at. One pass, no shuffle; the text
+    goes to Python once, and rows come back in small batches.
     """
     others = [c for c in docs.columns if c not in ("lang_pred", "score")]
     base = docs.select(*others)
@@ -203,17 +205,20 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*net.languages, UNKNOWN], object)
         for batch in batches:
-            data, offsets = text_buffers(batch.column("_body"))
+            data, offsets = text_buffers(batch_texts(batch, carried))
             known = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
             best, score = predicted(net, data, offsets)
             best, score = np.where(known, best, len(net.languages)), np.where(known, score, 0.0)
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in others] + [pa.array(names[best].tolist(), pa.string()), pa.array(np.clip(score, 0, 1))],
                 [*others, "lang_pred", "score"],
             )
+            yield from (found.slice(at, OUT_ROWS) for at in range(0, found.num_rows, OUT_ROWS))
 
     body = F.coalesce(F.col(text), F.lit(""))
-    return base.withColumns({"_body": body, "_letters": body.rlike(r"\p{L}")}).mapInArrow(run, schema)
+    carried = text if carries_text(base, others, text) else "_body"
+    more = {} if carried == text else {"_body": body}
+    return base.withColumns({**more, "_letters": body.rlike(r"\p{L}")}).mapInArrow(run, schema)
 
 
 def to_json(net: Network) -> str:

@@ -22,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import Lexicon, prefixed_hash, text_buffers, worker_store
+from dwellrank.llm.common import Lexicon, batch_texts, carries_text, prefixed_hash, text_buffers, worker_store
 from dwellrank.llm.subword import _ids, encoded_slices
 from dwellrank.session import pin
 
 GIANT = 1 << 16  # characters from which a text is cut into chunks
 CHUNK = 1 << 14  # characters of a chunk
 OUT_ROWS = 512
+CHUNK_ROWS = 64  # chunks a task has as Python strings at a time
+WORDS = 400_000  # words a worker remembers
+PAIRS = 100_000  # pairs of pieces a worker remembers
 
 State = tuple[int, int]  # characters of the piece before and after the edge
 
@@ -49,7 +52,7 @@ class Model:
         if any("▁" in p.lstrip("▁") for p in self.ids):
             raise ValueError("pieces of this model reach across word starts")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.lexicon = Lexicon(self._encode)
+        self.lexicon = Lexicon(self._encode, WORDS)
         raw = []
         for i in range(n):
             if self.sp.is_byte(i):
@@ -84,7 +87,7 @@ class Model:
         """Whether the edge from piece ``a`` to piece ``b`` weighs 0."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 500_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self.merged(a + b) == [a, b]
         return known
@@ -293,8 +296,12 @@ def _giant_ids(giants: DataFrame, model_path: str, chunk: int) -> DataFrame:
     def load(row: dict) -> Chunk:
         return Chunk(model(model_path), row["before"], row["body"], row["after"], row["no"] == 0)
 
-    def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            yield from (batch.slice(at, CHUNK_ROWS) for at in range(0, batch.num_rows, CHUNK_ROWS))
+
+    def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
             rows = batch.to_pylist()
             pairs = [[[*s, *e] for s, e in load(r).matrix()] for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -314,7 +321,7 @@ def _giant_ids(giants: DataFrame, model_path: str, chunk: int) -> DataFrame:
         )
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             rows = batch.to_pylist()
             ids = [load(r).backtrace(tuple(r["state"][:2]), tuple(r["state"][2:])) for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -338,7 +345,8 @@ def encode(
     ``round_trip`` says that decoding gives the text again; only a literal word mark (U+2581), which
     decodes as a space, does not. Null and empty texts have no ids. Rows and texts may repeat; columns
     called ``out`` or ``round_trip`` are replaced. Texts up to ``giant`` characters take one pass without
-    a shuffle. Longer ones are encoded once per distinct text, in chunks spread over the cluster.
+    a shuffle. Longer ones are encoded once per distinct text, in chunks spread over the cluster. A text goes
+    to Python once, as the column it is.
     """
     others = [c for c in docs.columns if c not in (out, "round_trip")]
     body = F.coalesce(F.col(text), F.lit(""))
@@ -349,7 +357,7 @@ def encode(
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                data, offsets = text_buffers(part.column("_body"))
+                data, offsets = text_buffers(batch_texts(part, carried))
                 if "_ids" in part.schema.names:
                     lists = part.column("_ids")
                     ids, edges = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
@@ -365,12 +373,14 @@ def encode(
                     [part.column(c) for c in others] + [lists, pa.array(same)], [*others, out, "round_trip"]
                 )
 
-    rows = docs.select(*others, body.alias("_body"))
-    small = rows.filter(F.length("_body") <= giant).mapInArrow(whole, schema)
-    large = rows.filter(F.length("_body") > giant).withColumn("_digest", F.sha2(F.col("_body").cast("binary"), 256))
-    distinct = large.groupBy("_digest").agg(F.first("_body").alias("body")).withColumnRenamed("_digest", "digest")
+    carried = text if carries_text(docs, others, text) else "_body"
+    rows = docs.select(*others, *([] if carried == text else [body.alias("_body")]))
+    length = F.length(F.coalesce(F.col(carried), F.lit("")))
+    small = rows.filter(length <= giant).mapInArrow(whole, schema)
+    large = rows.filter(length > giant).withColumn("_digest", F.sha2(F.col(carried).cast("binary"), 256))
+    distinct = large.groupBy("_digest").agg(F.first(carried).alias("body")).withColumnRenamed("_digest", "digest")
     found = _giant_ids(distinct, model_path, chunk).toDF("_digest", "_ids")
-    encoded = large.join(found, "_digest").select(*others, "_body", "_ids")
+    encoded = large.join(found, "_digest").select(*rows.columns, "_ids")
     return small.unionByName(encoded.mapInArrow(whole, schema))
 
 

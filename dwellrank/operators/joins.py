@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellrank.functions.scalars import station_or_blank, station_or_null
@@ -21,6 +23,43 @@ def attach_group_total(df: DataFrame, key: str, measure: str, name: str) -> Data
     return groups.join(totals, F.col(key).eqNullSafe(F.col("_key")), "left").select(*df.columns, name)
 
 
+def possible_keys(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test that every key of ``keys`` passes, and of the others one in 16 or fewer, up to 4 million keys.
+
+    The test looks up one bit in a bitmap of the keys' hashes, 8 MB at most; with more keys more of the others
+    pass. ``keys`` is read twice.
+    """
+    words = 1 << min((keys.count() // 4).bit_length(), 20)
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(64 * words))
+
+    bits = keys.select(place(F.col(key)).alias("place")).selectExpr(
+        "shiftright(place, 6) as word", "shiftleft(1L, cast(place & 63 as int)) as bits"
+    )
+    empty = keys.sparkSession.range(words).selectExpr("id as word", "0L as bits")
+    filled = bits.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bitmap = pin(filled.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("all")).select("all.bits"), "key-bitmap")
+
+    def test(value: Column) -> Column:
+        at = place(value)
+        word = F.get(bitmap.scalar(), F.shiftright(at, 6).cast("int"))
+        return F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return test
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is in ``keys`` (a pinned table); only rows that may be among them move."""
+    return rows.filter(possible_keys(keys, key)(F.col(key))).join(keys, key, "left_semi")
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is not in ``keys`` (a pinned table); only rows that may be among those move."""
+    test = possible_keys(keys, key)(F.col(key))
+    return rows.filter(~test).unionByName(rows.filter(test).join(keys, key, "left_anti"))
+
+
 def station_areas(lookup: DataFrame) -> DataFrame:
     """One area per station: the one of its smallest stop id."""
     return (

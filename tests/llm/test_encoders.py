@@ -7,8 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__
+from dwellrank.llm import language_id, token_files
 from dwellrank.llm import sentencepiece_scan as scan
-from dwellrank.llm import token_files
 from dwellrank.llm.common import text_buffers
 from dwellrank.llm.queries import tokenizer_file
 from dwellrank.llm.subword import byte_level_boundaries, byte_level_lexicon, encoded_slices
@@ -126,3 +126,26 @@ def test_sequences_and_masks_of_a_file(tmp_path):
     got, mask = file.sequence(len(ids) // 1024)
     assert mask.sum() == len(ids) % 1024 and not got[~mask].any()
     assert file.tokens(524_000, 1000).tolist() == ids[524_000:525_000].tolist()
+
+
+def test_a_text_goes_to_python_once(spark):
+    docs = spark.createDataFrame(AWKWARD, "doc_id long, text string")
+    net = language_id.train_network(np.zeros((4, language_id.WINDOW), np.uint8), np.array([0, 1, 0, 1]), ["a", "b"], epochs=1)
+    for found in (scan.encode(docs, PIECES), language_id.identify(docs, net)):
+        assert "_body" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # A text under another name, or one that is no string, is read all the same.
+    renamed = scan.encode(docs.withColumnRenamed("text", "ids"), PIECES, text="ids")
+    assert sorted((r.ids for r in renamed.collect()), key=repr) == sorted((piece_ids(t) for _, t in AWKWARD), key=repr)
+    (row,) = scan.encode(spark.sql("select 1 as doc_id, null as text"), PIECES).collect()
+    assert row.ids == [] and row.round_trip
+
+
+def test_a_worker_remembers_a_bounded_number_of_words():
+    m = scan.Model(PIECES)
+    assert m.lexicon.most <= 400_000
+    m.lexicon.most = 50
+    texts = [" ".join(f"w{k}v{j}" for j in range(20)) for k in range(10)]
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert scan.batch_ids(data, np.array([0, len(data)]), m)[0].tolist() == piece_ids(t)
+        assert m.lexicon.known <= 50

@@ -87,3 +87,21 @@ def test_language_stage_keeps_all_that_has_letters(spark, documents):
     rows = [(d["doc_id"], d["text"], d["lang"], d["source"], d["n_chars"]) for d in documents]
     found = kept(spark, "language_id", rows)
     assert found == sorted(((r[0], r[1]) for r in rows if r[1] and any(c.isalpha() for c in r[1])), key=repr)
+
+
+def test_only_rows_that_may_have_copies_are_shuffled(spark):
+    """Without broadcasts, the texts that have no copy stay where they are."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(k, f"text {k}", "en", "s", k) for k in range(500)] + [(None, "text 3", "en", "s", 1), (900, "text 7", "en", "s", 2)]
+        docs = spark.createDataFrame([*rows, (None, "x", "en", "s", 3), (None, "x", "en", "s", 4)], WIDE)
+        found = corpus_pipeline.drop_exact_copies(spark, docs, None)
+        expected = [(k, f"text {k}") for k in range(500) if k != 7] + [(900, "text 7"), (None, "x")]
+        assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted(expected, key=repr)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        alone, *joined = [x for x in plan.splitlines() if "Filter" in x and "getbit" in x]
+        # Both sides of the two joins are filtered by the bitmap of their keys.
+        assert "NOT" in alone and len(joined) == 4 and plan.count("Join Left") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
