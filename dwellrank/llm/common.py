@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SLICE_BYTES = 2 << 20  # bytes of text a numpy pass looks at; bounds the memory of a task
+SMALL_SLICE = 1 << 19  # the same where tasks of many kinds share a worker
 _HASH_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _MASK = (1 << 64) - 1
 
@@ -79,7 +80,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     store = worker_store()
     have = store.get("powers")
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, (SLICE_BYTES if n > SMALL_SLICE + 1 else SMALL_SLICE) + 1)
         both = []
         for base in (_HASH_BASE, pow(_HASH_BASE, -1, 1 << 64)):
             out = np.empty(size, np.uint64)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import document_slices, lower_ascii, mixed, span_hashes, text_buffers, word_spans
+from dwellrank.llm.common import SMALL_SLICE, document_slices, lower_ascii, mixed, span_hashes, text_buffers, word_spans
 from dwellrank.llm.components import components
 from dwellrank.session import pin
 
@@ -61,7 +61,7 @@ _STEP = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(WIDTH)], np
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
     out: list[np.ndarray] = []
-    for first, last in document_slices(offsets):
+    for first, last in document_slices(offsets, SMALL_SLICE):
         lo, hi = offsets[first], offsets[last]
         piece, inner = lower_ascii(data[lo:hi]), offsets[first : last + 1] - lo
         starts, ends = word_spans(piece, inner)

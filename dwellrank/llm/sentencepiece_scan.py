@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import Lexicon, batch_texts, carries_text, prefixed_hash, text_buffers, worker_store
+from dwellrank.llm.common import SMALL_SLICE, Lexicon, batch_texts, carries_text, prefixed_hash, text_buffers, worker_store
 from dwellrank.llm.subword import _ids, encoded_slices
 from dwellrank.session import pin
 
@@ -136,7 +136,7 @@ def _words(piece, starts, stops, first) -> list[bytes]:
 def batch_ids(data: np.ndarray, offsets: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch and the offsets of its texts among them."""
     found, edges, n = [], [np.zeros(1, np.int64)], 0
-    for ids, ends in encoded_slices(data, offsets, m.lexicon, word_starts, _keys, _words):
+    for ids, ends in encoded_slices(data, offsets, m.lexicon, word_starts, _keys, _words, SMALL_SLICE):
         found.append(ids)
         edges.append(n + ends)
         n += len(ids)
