@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellrank.llm.common import text_buffers, whole_text
+from dwellrank.llm.common import SMALL_SLICE, text_buffers, whole_text
 from dwellrank.llm.subword import byte_level_boundaries, byte_level_lexicon, encoded_slices
 from dwellrank.session import pin, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 PER_BATCH = 512  # sequences of a batch
+TASK_IDS = 1 << 21  # ids that a task reads back; small files share one
 DOCS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -147,7 +148,7 @@ def write_token_files(
             writer = writer or TokenFileWriter(path, vocabulary, str(context.taskAttemptId()))
             data, offsets = text_buffers(batch.column("body"))
             edges = [np.array([position])]
-            for ids, ends in encoded_slices(data, offsets, lexicon, byte_level_boundaries):
+            for ids, ends in encoded_slices(data, offsets, lexicon, byte_level_boundaries, most=SMALL_SLICE):
                 edges.append(position + ends + np.arange(1, len(ends) + 1))
                 with_ends = np.insert(ids, ends, end_id)
                 writer.add(with_ends)
@@ -162,8 +163,9 @@ def write_token_files(
             )
 
     manifest = ordered.mapInArrow(write, "part int, path string, n_ids long, n_docs long")
-    # One row per file.
-    return pin(manifest, "token-manifest").selectExpr("*", "sum(n_ids) over (order by part) - n_ids as start")
+    # One row per file. The sum brings them together, so that one task writes the table: without its native library
+    # Hadoop starts processes for each file written, and the executor's memory shows twice while one starts.
+    return pin(manifest.selectExpr("*", "sum(n_ids) over (order by part) - n_ids as start"), "token-manifest")
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -182,8 +184,9 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    files = manifest.select("path", "start")
-    spread = files.repartition(max(1, manifest.count()))
+    spark, found = manifest.sparkSession, manifest.agg(F.count("*"), F.sum("n_ids")).first()
+    tasks = min(found[0], max((found[1] or 0) // TASK_IDS, spark.sparkContext.defaultParallelism))
+    spread = manifest.select("path", "start").repartition(max(1, tasks))
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

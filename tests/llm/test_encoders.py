@@ -112,6 +112,25 @@ def test_op8_takes_awkward_texts(spark, as_table, tmp_path):
     assert token_files.corpus_files(none, BYTES, str(tmp_path / "none")).count() == 0
 
 
+def test_small_files_share_a_manifest_and_reading_tasks(spark, tmp_path):
+    rows = [(i, f"text {i} " * (i % 7)) for i in range(300)]
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        manifest = token_files.write_token_files(docs, BYTES, str(tmp_path / "files"))
+        assert manifest.columns == ["part", "path", "n_ids", "n_docs", "start"] and manifest.count() > 20
+        assert len(manifest.inputFiles()) == 1
+        found = token_files.read_documents(manifest)
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert sorted(map(tuple, found.collect())) == expected_files(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_sequences_and_masks_of_a_file(tmp_path):
     ids = np.arange(2_000_000) % 50_000
     writer = token_files.TokenFileWriter(str(tmp_path / "part"), 50257, "a0")
