@@ -22,7 +22,7 @@ from dwellrank.session import pin, scratch_path
 
 LENGTH = 1024  # ids of a sequence
 PER_BATCH = 512  # sequences of a batch
-TASK_IDS = 1 << 21  # ids that a task reads back; small files share one
+TASK_IDS = 1 << 24  # ids that a task reads back; small files share one
 DOCS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
