@@ -21,6 +21,19 @@ from dwellrank.operators.joins import with_keys, without_keys
 from dwellrank.session import pin
 
 LEAST_SCORE = 0.34  # a best language with no more than a third of the probability is none
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "4m"  # of a batch that goes to Python; Spark's own 64 MB are held by the executor and the worker of each task
+
+
+def _small_batches(spark: SparkSession) -> bool:
+    """Bound the batches that go to Python, unless the session has a bound of its own; whether this set one.
+
+    Results are computed after a stage returns, so the setting stays in the session; ``run`` takes it back.
+    """
+    unset = spark.conf.get(BATCH, None) is None
+    if unset:
+        spark.conf.set(BATCH, BATCH_BYTES)
+    return unset
 
 
 def _text_key() -> Column:
@@ -38,6 +51,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     language more than ``LEAST_SCORE``. The network learns as in its query; where there is nothing to learn
     from, every text with a letter stays.
     """
+    _small_batches(spark)
     net = fit(docs, F.pmod(crc_of_id(), F.lit(4)) != 2)
     if net is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
@@ -61,6 +75,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect, one row with the smallest doc_id stays; ids come before null."""
+    _small_batches(spark)
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(whole_text()).alias("text"))
     classes = near_duplicate_classes(docs.select(key.alias("doc_id"), "text"))
     named = pin(
@@ -86,6 +101,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns, the ids of the text, and whether decoding gives it back."""
+    _small_batches(spark)
     return encode(docs, tokenizer_file("piece_bpe_32k.model"))
 
 
@@ -103,7 +119,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = pin(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, unset = table(spark, sf_dir, "documents"), _small_batches(spark)
+    try:
+        for name, stage in STAGES:
+            docs = pin(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    finally:
+        if unset:
+            spark.conf.unset(BATCH)
     return docs

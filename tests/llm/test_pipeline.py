@@ -1,5 +1,8 @@
 import collections
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
 from dwellrank.llm import queries
 from dwellrank.llm.sentencepiece_scan import model
@@ -105,3 +108,29 @@ def test_only_rows_that_may_have_copies_are_shuffled(spark):
         assert "NOT" in alone and len(joined) == 4 and plan.count("Join Left") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("name", ["language_id", "jaccard_join", "sentencepiece"])
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark, name):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], ["bytes", "n"])
+
+    try:
+        stage = dict(corpus_pipeline.STAGES)[name]
+        stage(spark, spark.createDataFrame([(1, "some words", "en", "s", 10)], WIDE), None)
+        long = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('0123456789', 1000) as text")  # 30 MB
+        found = long.mapInArrow(sizes, "bytes long, n long").collect()
+        assert sum(r.n for r in found) == 3000 and max(r.bytes for r in found) < 8 << 20
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH)
+
+
+def test_a_bound_of_the_session_stays(spark):
+    try:
+        assert corpus_pipeline.run(spark, SMALL).count() and spark.conf.get(corpus_pipeline.BATCH, None) is None
+        spark.conf.set(corpus_pipeline.BATCH, "1m")
+        corpus_pipeline.encode_pieces(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), SMALL)
+        assert spark.conf.get(corpus_pipeline.BATCH) == "1m"
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH)
